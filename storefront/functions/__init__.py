@@ -10,4 +10,5 @@ from storefront.functions.cleaning import (  # noqa: F401
     normalise_missing,
     parse_short_date,
     pattern_capture,
+    round_ratio,
 )

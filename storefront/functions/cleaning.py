@@ -76,7 +76,7 @@ def parse_short_date(c) -> Column:
     Two-digit years from the pivot on belong to the previous century
     ('1/12/99' is 1999-12-01, not 2099).
     """
-    d = F.try_to_date(_col(c), F.lit("d/M/yy"))
+    d = F.try_to_date(_col(c), "d/M/yy")
     return F.when(F.year(d) >= TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
 
 
@@ -85,5 +85,15 @@ def day_name_padded(c, width: int = 9) -> Column:
     return F.rpad(F.date_format(_col(c), "EEEE"), width, " ")
 
 
+def round_ratio(num, den, digits: int = 2, scale: int = 1) -> Column:
+    """``round(num * scale / den, digits)`` with exact decimal arithmetic
+    (half away from zero, as SQL ``ROUND`` on numerics), returned as double;
+    NULL when ``den`` is 0 or NULL. For whole-number inputs: the quotient
+    carries at least 11 decimals before the final rounding."""
+    num = _col(num).cast("decimal(20,0)") * F.lit(scale).cast("decimal(6,0)")
+    den = _col(den).cast("decimal(20,0)")
+    return F.round(F.try_divide(num, den), digits).cast("double")
+
+
 def _regex_quote(text: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?{}[]\|()" else ch for ch in text)

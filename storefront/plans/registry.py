@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storefront.oracle_views import with_views
-from storefront.plans import fulfilment, loyalty
+from storefront.plans import fulfilment, loyalty, mart
 from storefront.sources.bindings import Domain
 
-_MODULES = (loyalty, fulfilment)
+_MODULES = (loyalty, fulfilment, mart)
 
 
 def _bind(fn) -> Callable[[SparkSession, str], DataFrame]:

@@ -25,7 +25,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     On a cluster call it without ``master``; the launcher decides. Locally
     pass ``master="local[8]"`` and a small ``shuffle_partitions``.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name)
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for key, value in SQL_CONF.items():
