@@ -6,10 +6,11 @@ star schema, so each domain table is a lazily defined DataFrame over it. The
 same definitions exist as SQL text in ``storefront.oracle`` for the DuckDB
 cross-check; the two must stay in step.
 
-Only ``nation`` and ``region`` are broadcast by hint: TPC-H fixes them at 25
-and 5 rows at every scale factor. Every other join is left to Spark, which
-broadcasts a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime).
+No join carries a broadcast hint. Spark broadcasts a side only when its
+estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+re-checks that against the real shuffle sizes at runtime; anything larger
+falls back to a sort-merge join. So the 25-row ``nation`` table is broadcast
+while ``part`` or ``customer`` at a large scale factor are not.
 """
 
 from __future__ import annotations
@@ -123,8 +124,8 @@ class Domain:
     @cached_property
     def pizza_toppings(self) -> DataFrame:
         """pizza_toppings(topping_id, topping_name): the 25-row nation table."""
-        return F.broadcast(self.table("nation").select(
-            F.col("n_nationkey").alias("topping_id"), F.col("n_name").alias("topping_name")))
+        return self.table("nation").select(
+            F.col("n_nationkey").alias("topping_id"), F.col("n_name").alias("topping_name"))
 
     @cached_property
     def runner_orders(self) -> DataFrame:
@@ -212,8 +213,8 @@ class Domain:
         orders = self.table("orders").select(
             "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
         customers = self.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-        nations = F.broadcast(self.table("nation").select("n_nationkey", "n_regionkey"))
-        regions = F.broadcast(self.table("region").select("r_regionkey", "r_name"))
+        nations = self.table("nation").select("n_nationkey", "n_regionkey")
+        regions = self.table("region").select("r_regionkey", "r_name")
         digit = F.substring("o_orderpriority", 1, 1)
         seg = F.col("c_mktsegment")
         segment = (
