@@ -46,7 +46,7 @@ VIEWS: dict[str, str] = {
     "runner_orders": """
         SELECT o_orderkey AS order_id, o_orderkey % 100 AS runner_id,
                o_orderdate + INTERVAL 1 MINUTE * CAST(o_orderkey % 1440 AS INTEGER)
-                 + INTERVAL 1 MINUTE * CAST(10 + o_orderkey % 50 AS INTEGER) AS pickup_time,
+                 + INTERVAL 1 MINUTE * CAST(10 + o_orderkey % 47 AS INTEGER) AS pickup_time,
                CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'null' END
                     WHEN o_orderkey % 4 = 0 THEN CAST(5 + o_orderkey % 20 AS VARCHAR) || '.'
                                                  || CAST(o_orderkey % 10 AS VARCHAR) || 'km'

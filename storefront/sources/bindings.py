@@ -156,7 +156,7 @@ class Domain:
         return self.table("orders").select(
             k.alias("order_id"),
             (k % 100).alias("runner_id"),
-            F.timestamp_add("MINUTE", 10 + k % 50, order_time).alias("pickup_time"),
+            F.timestamp_add("MINUTE", 10 + k % 47, order_time).alias("pickup_time"),
             F.when(cancelled, empty).otherwise(distance).alias("distance"),
             F.when(cancelled, empty).otherwise(duration).alias("duration"),
             F.when(cancelled, F.lit(CANCELLED_TEXT)).alias("cancellation"),

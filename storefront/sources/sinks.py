@@ -29,4 +29,6 @@ def create_table_as(spark: SparkSession, df: DataFrame, name: str,
     """
     path = table_location(spark, name)
     write_table(df, path, partition_by)
-    return spark.read.parquet(path)
+    # Read back with the written schema: partition values (e.g. a year label
+    # '1998') would otherwise be re-typed by inference.
+    return spark.read.schema(df.schema).parquet(path)
