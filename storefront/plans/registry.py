@@ -1,11 +1,18 @@
 """All registered queries: name -> (spark, sf_dir) -> DataFrame, plus the
-matching DuckDB SQL for the cross-check."""
+matching DuckDB SQL for the cross-check and each statement's ORDER BY.
+
+Queries return unordered results: a presentation sort is a global range
+shuffle, worth paying only when a person reads the rows. ``ordered``
+applies the statement's ORDER BY on request; top-k queries carry their
+own ordering and limit.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storefront.oracle_views import with_views
 from storefront.plans import fulfilment, loyalty, mart
@@ -36,3 +43,20 @@ def oracle_sql() -> dict[str, str]:
         for name, sql in module.SQL.items():
             out[name] = with_views(sql)
     return out
+
+
+def presentation_order(name: str) -> list[Column]:
+    """The statement's ORDER BY as columns ('-col' = descending), with the
+    NULL placement of the original dialect: last when ascending, first when
+    descending (Spark's defaults are the reverse)."""
+    for module in _MODULES:
+        if name in module.ORDER:
+            return [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.asc_nulls_last(c)
+                    for c in module.ORDER[name]]
+    return []
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """``df`` sorted as the statement behind ``name`` sorts its rows."""
+    order = presentation_order(name)
+    return df.orderBy(*order) if order else df

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analyses this library re-expresses are batch statements over stored
+tables; none reads an unbounded source, keeps state across batches or
+handles late data. The mart is materialised as a batch table
+(``storefront.plans.mart.materialise_mart``). Nothing is streamed here.
+"""

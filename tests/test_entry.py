@@ -50,3 +50,13 @@ def test_literal_and_asked_differ(spark, small_dir, literal, asked):
     a = {tuple(r) for r in q[literal](spark, small_dir).collect()}
     b = {tuple(r) for r in q[asked](spark, small_dir).collect()}
     assert a != b
+
+
+def test_presentation_order(spark, small_dir):
+    from storefront.plans import registry
+    df = registry.ordered("impact_by_area", entry.queries()["impact_by_area"](spark, small_dir))
+    diffs = [r["sales_difference"] for r in df.collect()]
+    present = [d for d in diffs if d is not None]
+    assert present == sorted(present)
+    assert diffs[:len(present)] == present  # NULLs last when ascending
+    assert registry.presentation_order("no_such_query") == []
