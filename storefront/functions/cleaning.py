@@ -77,7 +77,9 @@ def parse_short_date(c) -> Column:
     ('1/12/99' is 1999-12-01, not 2099).
     """
     d = F.try_to_date(_col(c), "d/M/yy")
-    return F.when(F.year(d) >= TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
+    # One shift by a computed month offset: the parse appears twice, not three
+    # times, in filters Catalyst pushes below an aggregate.
+    return F.add_months(d, F.when(F.year(d) >= TWO_DIGIT_YEAR_PIVOT, F.lit(-1200)).otherwise(F.lit(0)))
 
 
 def day_name_padded(c, width: int = 9) -> Column:
