@@ -18,12 +18,27 @@ SQL_CONF = {
 }
 
 
+# Starting points for a large cluster (~100 TB input). Many initial shuffle
+# partitions that AQE coalesces towards the advisory size keep each task's
+# shuffle block small enough to avoid spilling; splits of a skewed partition
+# are sized the same way. Broadcasting stays behind the default size check.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "storefront", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
 
-    On a cluster call it without ``master``; the launcher decides. Locally
-    pass ``master="local[8]"`` and a small ``shuffle_partitions``.
+    On a cluster call it without ``master`` (the launcher decides) and pass
+    ``extra=CLUSTER_CONF``. Locally pass ``master="local[8]"`` and a small
+    ``shuffle_partitions``.
     """
     builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
