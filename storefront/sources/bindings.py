@@ -34,9 +34,14 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """The Parquet table ``name``, listed once per domain (a plan that
+        uses a table twice shares one relation; Spark re-aliases self-joins)."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # ---- shared expressions -------------------------------------------
     @staticmethod
