@@ -5,6 +5,7 @@ from storefront.functions.cleaning import (  # noqa: F401
     day_name_padded,
     extract_number,
     id_list,
+    in_delimited,
     literal_list,
     minutes_between,
     normalise_missing,

@@ -48,6 +48,16 @@ def id_list(c, pattern: str = LIST_SEPARATOR_PATTERN) -> Column:
     return F.array_distinct(F.filter(tokens, lambda t: t != F.lit("")))
 
 
+def in_delimited(text, token, separator: str = LIST_SEPARATOR) -> Column:
+    """Whether ``token`` is one of the items of ``text`` split on the exact
+    ``separator`` - without splitting: ``sep + token + sep`` must occur in
+    ``sep + text + sep``. Exact for separators that cannot overlap themselves
+    (such as ', ') and tokens that do not contain the separator. NULL text
+    gives NULL, as membership in a NULL list does."""
+    sep = F.lit(separator)
+    return F.contains(F.concat(sep, _col(text), sep), F.concat(sep, _col(token), sep))
+
+
 def pattern_capture(c, pattern: str, group: int = 1) -> Column:
     """Text matched by a capture group; NULL when there is no match or the
     group did not take part (Spark itself returns '')."""

@@ -90,3 +90,12 @@ def test_id_list_matches_python(spark, text):
             if tok and tok not in expected:
                 expected.append(tok)
     assert got == expected
+
+
+@SETTINGS
+@given(text=st.one_of(st.none(), st.text(alphabet="0123456789, ", max_size=8)),
+       token=st.text(alphabet="0123456789", min_size=1, max_size=2))
+def test_in_delimited_matches_split(spark, text, token):
+    from storefront.functions import in_delimited
+    got = spark.createDataFrame([(text, token)], "t string, k string").select(in_delimited("t", "k")).first()[0]
+    assert got == (None if text is None else token in text.split(", "))
