@@ -2,8 +2,8 @@
 
 from storefront.operators.aggregates import share_pct, success_rate, tiered_value, totals_by  # noqa: F401
 from storefront.operators.exclusion import exclude_keys, missing_in_range  # noqa: F401
-from storefront.operators.lists import explode_ids, substrings  # noqa: F401
+from storefront.operators.lists import compose_list, explode_ids, substrings  # noqa: F401
 from storefront.operators.membership import with_membership  # noqa: F401
-from storefront.operators.periods import period_sums  # noqa: F401
+from storefront.operators.periods import before_after, period_sums  # noqa: F401
 from storefront.operators.quality import append_rows, validate_rows  # noqa: F401
-from storefront.operators.ranking import rows_at_extreme, top_overall  # noqa: F401
+from storefront.operators.ranking import rows_at_extreme, top_by_count, top_overall  # noqa: F401

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +33,18 @@ def substrings(text: Column) -> Column:
     )
     found = F.filter(F.flatten(per_start), lambda s: F.length(s) > 0)
     return F.when(n > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+
+
+def compose_list(df: DataFrame, keys: Sequence[str], item: Column | str, out: str,
+                 separator: str = ", ", order_by: Column | str | None = None) -> DataFrame:
+    """Ordered string aggregate: per ``keys``, the ``item`` values joined by
+    ``separator``, sorted by ``order_by`` (default: the items themselves;
+    equal sort keys are ordered by the item text).
+
+    The list of a group is built in one task, so use it where the group
+    size is bounded by the data's shape (ids of one recipe, names of one
+    list), or pre-aggregate first."""
+    item = F.col(item) if isinstance(item, str) else item
+    key = item if order_by is None else (F.col(order_by) if isinstance(order_by, str) else order_by)
+    collected = F.array_sort(F.collect_list(F.struct(key.alias("k"), item.alias("v"))))
+    return df.groupBy(*keys).agg(F.array_join(F.transform(collected, lambda e: e["v"]), separator).alias(out))

@@ -31,3 +31,15 @@ def top_overall(df: DataFrame, order: Sequence[Column], k: int = 1) -> DataFrame
     Spark plans this as TakeOrderedAndProject: each partition keeps its own
     top k, only k rows per partition reach the final merge."""
     return df.orderBy(*order).limit(k)
+
+
+def top_by_count(df: DataFrame, entity: Sequence[str] | str, item: Sequence[str] | str,
+                 count: str = "n", counted: Column | None = None) -> DataFrame:
+    """Per ``entity``, the ``item`` value(s) counted most often (ties kept),
+    with their count. Counting is a partial aggregate; the winners are kept
+    by ``rows_at_extreme`` on the counts."""
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    items = [item] if isinstance(item, str) else list(item)
+    measure = F.count(F.lit(1)) if counted is None else F.count(counted)
+    counts = df.groupBy(*keys, *items).agg(measure.alias(count))
+    return rows_at_extreme(counts, keys, count, first=False)

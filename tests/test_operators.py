@@ -120,3 +120,27 @@ def test_explode_ids_and_append(spark):
     assert rows(out, "k", "pos", "tid") == [("x", 0, "1"), ("x", 1, "5")]
     both = append_rows(df.select("k"), df.select("k"))
     assert both.count() == 4
+
+
+def test_compose_list(spark):
+    from storefront.operators import compose_list
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (1, "c", 0), (2, "z", 0)], "k int, name string, pos int")
+    assert rows(compose_list(df, ["k"], "name", "lst")) == [(1, "a, b, c"), (2, "z")]
+    assert rows(compose_list(df, ["k"], "name", "lst", order_by="pos", separator="|")) == [(1, "c|a|b"), (2, "z")]
+
+
+def test_top_by_count_keeps_ties(spark):
+    from storefront.operators import top_by_count
+    df = spark.createDataFrame([("A", "x"), ("A", "x"), ("A", "y"), ("B", "x"), ("B", "y")], "c string, item string")
+    assert rows(top_by_count(df, "c", "item")) == [("A", "x", 2), ("B", "x", 1), ("B", "y", 1)]
+
+
+def test_before_after_windows(spark):
+    from storefront.operators import before_after
+    base = D(2020, 6, 15)
+    weeks = [D(2020, 5, 18), D(2020, 6, 8), D(2020, 6, 15), D(2020, 7, 6), D(2020, 7, 13), D(2020, 5, 11)]
+    df = spark.createDataFrame([(w, 1) for w in weeks], "week_date date, sales long")
+    half_open = before_after(df, "week_date", "sales", base, 4).first()
+    closed = before_after(df, "week_date", "sales", base, 4, closed_after=True).first()
+    assert (half_open["before_sales"], half_open["after_sales"]) == (2, 2)
+    assert (closed["before_sales"], closed["after_sales"]) == (2, 3)
