@@ -42,4 +42,4 @@ def top_by_count(df: DataFrame, entity: Sequence[str] | str, item: Sequence[str]
     items = [item] if isinstance(item, str) else list(item)
     measure = F.count(F.lit(1)) if counted is None else F.count(counted)
     counts = df.groupBy(*keys, *items).agg(measure.alias(count))
-    return rows_at_extreme(counts, keys, count, first=False)
+    return rows_at_extreme(counts, keys, count, first=False).select(*keys, *items, count)
