@@ -62,3 +62,17 @@ def test_mart_table_round_trip(spark, small_dir):
     a = mart.impact_by_area(d, mart=written).collect()
     b = mart.impact_by_area(d).collect()
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
+
+
+@pytest.mark.parametrize("key", ["signups_by_week", "items_by_hour", "clean_weekly_sales", "weekday_of_week_date",
+                                 "delivery_facts", "ratings_loaded", "before_after_12w"])
+def test_independent_of_session_time_zone(spark, small_dir, key):
+    fn = entry.queries()[key]
+    utc = sorted(map(tuple, fn(spark, small_dir).collect()), key=repr)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = sorted(map(tuple, fn(spark, small_dir).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == other
