@@ -32,8 +32,8 @@ def main(argv):
         text = plan_text(fn(spark, sf_dir))
         counts = collections.Counter(n for n in NODES for _ in re.finditer(rf"\b{n}\b", text))
         bad = [b for b in BAD if b in text]
-        scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-        widest = max((s.count(":") for s in scans), default=0)
+        scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+        widest = max((len(s.split(",")) for s in scans), default=0)
         print(f"{key:34} {'BAD:' + ','.join(bad) if bad else 'ok':10} "
               + " ".join(f"{k}={v}" for k, v in sorted(counts.items())) + f" widest_scan_cols={widest}")
 
