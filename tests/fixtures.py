@@ -87,3 +87,26 @@ def loyalty_domain(spark) -> FixtureDomain:
     members = spark.createDataFrame([("X", d(2021, 1, 7)), ("Y", d(2021, 1, 9))],
                                     "customer_id string, join_date date")
     return FixtureDomain(spark, sales=sales, menu=menu, members=members)
+
+
+def mart_domain(spark) -> FixtureDomain:
+    """Synthetic weekly rows with the edge cases of FIXTURES.md: one-digit
+    month, century pivot, malformed date, every segment shape (C1, F2, '1',
+    'null', NULL, ...), zero transactions, weeks on both sides of the 4-week
+    bounds around the 1998-06-15 baseline, and a year outside the labels."""
+    rows = [
+        ("31/8/20", "ASIA", "Retail", "C1", "New", 10, 1005),
+        ("1/12/99", "ASIA", "Shopify", "F2", "Existing", 3, 100),
+        ("x/y/zz", "ASIA", "Retail", "C3", "New", 1, 1),
+        ("15/6/98", "EUROPE", "Retail", "1", "New", 0, 50),
+        ("8/6/98", "EUROPE", "Retail", "null", "New", 2, 7),
+        ("13/7/98", "EUROPE", "Shopify", None, "New", 1, 20),
+        ("20/7/98", "EUROPE", "Shopify", "F4", "New", 1, 30),
+        ("18/5/98", "EUROPE", "Retail", "C3", "Existing", 4, 40),
+        ("11/5/98", "EUROPE", "Retail", "C3", "Existing", 4, 60),
+        ("3/3/97", "AFRICA", "Retail", "F4", "Existing", 5, 55),
+        ("27/7/98", "EUROPE", "Retail", "C1", "New", 2, 80),
+    ]
+    ws = spark.createDataFrame(rows, "week_date string, region string, platform string, segment string, "
+                                     "customer_type string, transactions int, sales long")
+    return FixtureDomain(spark, weekly_sales=ws)
