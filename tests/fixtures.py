@@ -63,8 +63,21 @@ def fulfilment_domain(spark) -> FixtureDomain:
         [(k, o, r, c, v, m, None) for k, (o, r, c, v, m) in enumerate(EXAMPLE_RATINGS, start=1)],
         "rating_key long, order_id long, runner_id long, customer_id long, rating int, comment string, "
         "rating_time timestamp_ntz")
+    # Runner rows are not part of the example rows: synthetic ones with the
+    # text shapes of FIXTURES.md; order 10 has no runner row.
+    first_time = {o: dt.datetime.fromisoformat(t) for o, _, _, _, _, t in reversed(EXAMPLE_ORDERS)}
+    runs = [(1, 1, 10, "13.4km", "32 minutes", None), (2, 1, 12, "20km", "1 minute", None),
+            (3, 2, 15, "23.4", "20 mins", None), (4, 2, 30, " 10 km", "15", None),
+            (5, 3, 5, "12.5", "0", None), (6, 3, None, "null", "null", "Restaurant Cancellation"),
+            (7, 2, 8, None, None, "Customer Cancellation"), (8, 1, 20, "7.5km", "10.5 minutes", None),
+            (9, 3, 25, "9.0", "12", None)]
+    runner_orders = spark.createDataFrame(
+        [(o, r, None if m is None else first_time[o] + dt.timedelta(minutes=m), dist, dur, c)
+         for o, r, m, dist, dur, c in runs],
+        "order_id long, runner_id long, pickup_time timestamp_ntz, distance string, duration string, "
+        "cancellation string")
     return FixtureDomain(spark, customer_orders=orders, pizza_names=names, pizza_recipes=recipes,
-                         pizza_toppings=toppings, raw_ratings=ratings)
+                         pizza_toppings=toppings, raw_ratings=ratings, runner_orders=runner_orders)
 
 
 def loyalty_domain(spark) -> FixtureDomain:
