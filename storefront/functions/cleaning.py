@@ -98,13 +98,21 @@ def day_name_padded(c, width: int = 9) -> Column:
 
 
 def round_ratio(num, den, digits: int = 2, scale: int = 1) -> Column:
-    """``round(num * scale / den, digits)`` with exact decimal arithmetic
-    (half away from zero, as SQL ``ROUND`` on numerics), returned as double;
-    NULL when ``den`` is 0 or NULL. For whole-number inputs: the quotient
-    carries at least 11 decimals before the final rounding."""
-    num = _col(num).cast("decimal(20,0)") * F.lit(scale).cast("decimal(6,0)")
-    den = _col(den).cast("decimal(20,0)")
-    return F.round(F.try_divide(num, den), digits).cast("double")
+    """``round(num * scale / den, digits)`` for whole numbers, exactly (half
+    away from zero, as SQL ``ROUND`` on numerics), returned as double; NULL
+    when ``den`` is 0 or NULL.
+
+    Computed in integers: ``q = floor((|num| * scale * 10^digits * 2 + |den|)
+    / (2 |den|))`` with the floor taken through an exact remainder, so no
+    intermediate quotient is rounded."""
+    m = 10 ** digits
+    n = _col(num).cast("decimal(38,0)")
+    d = _col(den).cast("decimal(38,0)")
+    a = F.abs(n) * F.lit(scale * m * 2).cast("decimal(20,0)") + F.abs(d)
+    b = F.abs(d) * F.lit(2).cast("decimal(1,0)")
+    q = ((a - a % b) / b).cast("decimal(38,0)")
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    return F.when(d != 0, signed.cast("double") / F.lit(float(m)))
 
 
 def _regex_quote(text: str) -> str:

@@ -78,6 +78,8 @@ def test_parse_short_date(spark):
     assert one(spark, "31/8/20", parse_short_date("v")) == dt.date(2020, 8, 31)
     assert one(spark, "1/12/99", parse_short_date("v")) == dt.date(1999, 12, 1)
     assert one(spark, "9/3/98", parse_short_date("v")) == dt.date(1998, 3, 9)
+    assert one(spark, "1/1/69", parse_short_date("v")) == dt.date(2069, 1, 1)  # 00-69: 2000s
+    assert one(spark, "1/1/70", parse_short_date("v")) == dt.date(1970, 1, 1)  # 70-99: 1900s
     assert one(spark, "32/13/20", parse_short_date("v")) is None
     assert one(spark, "not a date", parse_short_date("v")) is None
 
@@ -88,9 +90,11 @@ def test_day_name_padded(spark):
 
 
 def test_round_ratio_is_exact_half_away_from_zero(spark):
-    df = spark.createDataFrame([(41, 40), (-41, 40), (1, 3), (5, 0), (None, 2)], "n long, d long")
+    df = spark.createDataFrame([(41, 40), (-41, 40), (1, 3), (5, 0), (None, 2), (4999999999996, 10**15), (0, -5)],
+                               "n long, d long")
     got = [r[0] for r in df.select(round_ratio("n", "d")).collect()]
-    assert got == [1.03, -1.03, 0.33, None, None]
+    # 0.004999999999996 must not be rounded twice (to 0.005, then 0.01).
+    assert got == [1.03, -1.03, 0.33, None, None, 0.0, 0.0]
     pct = df.select(round_ratio("n", "d", scale=100)).first()[0]
     assert pct == 102.5
 
