@@ -99,3 +99,57 @@ def test_in_delimited_matches_split(spark, text, token):
     from storefront.functions import in_delimited
     got = spark.createDataFrame([(text, token)], "t string, k string").select(in_delimited("t", "k")).first()[0]
     assert got == (None if text is None else token in text.split(", "))
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.sampled_from("xy"), st.text(alphabet="abc", min_size=1, max_size=3)),
+                     max_size=10))
+def test_compose_list_is_sorted_join(spark, data):
+    from storefront.operators import compose_list
+    df = spark.createDataFrame(data, "k string, v string")
+    got = dict((r[0], r[1]) for r in compose_list(df, ["k"], "v", "lst").collect())
+    expected = {k: ", ".join(sorted(v for k2, v in data if k2 == k)) for k, _ in data}
+    assert got == expected
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.sampled_from("AB"), st.sampled_from("xyz")), max_size=12))
+def test_top_by_count_matches_python(spark, data):
+    from collections import Counter
+
+    from storefront.operators import top_by_count
+    df = spark.createDataFrame(data, "c string, item string")
+    got = sorted(tuple(r) for r in top_by_count(df, "c", "item").collect())
+    counts = Counter(data)
+    best = {c: max(n for (c2, _), n in counts.items() if c2 == c) for c, _ in data}
+    assert got == sorted((c, i, n) for (c, i), n in counts.items() if n == best[c])
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.one_of(st.none(), st.integers(-1, 7)), st.one_of(st.none(), st.integers(0, 3))),
+                     max_size=10))
+def test_validate_rows_matches_sql_rules(spark, data):
+    from storefront.operators import validate_rows
+    df = spark.createDataFrame(data, "rating int, k int")
+    valid, bad = validate_rows(df, not_null=["rating"], checks={"1-5": F.col("rating").between(1, 5)})
+    ok = [(r, k) for r, k in data if r is not None and 1 <= r <= 5]
+    assert sorted(map(tuple, valid.collect()), key=repr) == sorted(ok, key=repr)
+    expected_bad = [(r, k, "rating is null") for r, k in data if r is None] + \
+                   [(r, k, "1-5") for r, k in data if r is not None and not 1 <= r <= 5]
+    assert sorted(map(tuple, bad.collect()), key=repr) == sorted(expected_bad, key=repr)
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.sampled_from("pq"), st.integers(1, 30), st.one_of(st.none(), st.integers(0, 9))),
+                     max_size=12))
+def test_period_sums_match_python(spark, data):
+    from storefront.operators import period_sums
+    df = spark.createDataFrame(data, "k string, w int, s int")
+    got = {r[0]: (r[1], r[2]) for r in period_sums(df, "s", {"a": F.col("w").between(1, 10),
+                                                             "b": F.col("w").between(11, 20)}, ["k"]).collect()}
+
+    def total(k, lo, hi):
+        vals = [s for k2, w, s in data if k2 == k and lo <= w <= hi and s is not None]
+        return sum(vals) if vals else None
+
+    assert got == {k: (total(k, 1, 10), total(k, 11, 20)) for k, _, _ in data}
