@@ -60,3 +60,11 @@ def test_presentation_order(spark, small_dir):
     assert present == sorted(present)
     assert diffs[:len(present)] == present  # NULLs last when ascending
     assert registry.presentation_order("no_such_query") == []
+
+
+def test_cli_lists_queries(capsys):
+    from storefront.__main__ import main
+    assert main([]) == 0
+    listed = capsys.readouterr().out.splitlines()
+    assert len(listed) == len(entry.queries())
+    assert main(["no_such_query"]) == 2
