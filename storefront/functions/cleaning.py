@@ -76,8 +76,8 @@ def count_separators(c, separator: str = ",") -> Column:
 
 
 def minutes_between(start, end) -> Column:
-    """Elapsed minutes from ``start`` to ``end`` (fractional, whole seconds)."""
-    return F.timestamp_diff("SECOND", _col(start), _col(end)).cast("double") / F.lit(60.0)
+    """Elapsed minutes from ``start`` to ``end``, fractional (to the microsecond)."""
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)).cast("double") / F.lit(60_000_000.0)
 
 
 def parse_short_date(c) -> Column:

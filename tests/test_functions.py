@@ -72,6 +72,9 @@ def test_minutes_between(spark):
     df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 18, 5, 2), dt.datetime(2020, 1, 1, 18, 15, 32))],
                                "a timestamp_ntz, b timestamp_ntz")
     assert df.select(minutes_between("a", "b")).first()[0] == 10.5
+    frac = spark.createDataFrame([(dt.datetime(2020, 1, 1, 0, 0, 0), dt.datetime(2020, 1, 1, 0, 0, 1, 500000))],
+                                 "a timestamp_ntz, b timestamp_ntz")
+    assert frac.select(minutes_between("a", "b")).first()[0] == 1.5 / 60  # fractional seconds count
 
 
 def test_parse_short_date(spark):
