@@ -36,6 +36,30 @@ class Domain:
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
 
+    # The domain tables, as the analyses read them.
+    DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "pizza_names", "pizza_recipes",
+                     "pizza_toppings", "runner_orders", "runners", "raw_ratings", "weekly_sales")
+
+    @classmethod
+    def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> Domain:
+        """A domain over a shop's own tables given as DataFrames (any subset of
+        ``DOMAIN_TABLES``); the analyses that read only those tables run on
+        them unchanged."""
+        unknown = set(frames) - set(cls.DOMAIN_TABLES)
+        if unknown:
+            raise ValueError(f"not domain tables: {sorted(unknown)}")
+        domain = cls(spark, "")
+        for name, df in frames.items():
+            domain.__dict__[name] = df  # takes the place of the derived view
+        return domain
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, folder: str, names: tuple[str, ...] | None = None) -> Domain:
+        """A domain over ``<folder>/<name>.parquet`` for each of ``names``
+        (default: all domain tables)."""
+        names = names or cls.DOMAIN_TABLES
+        return cls.from_frames(spark, **{n: read_table(spark, folder, n) for n in names})
+
     def table(self, name: str) -> DataFrame:
         """The Parquet table ``name``, listed once per domain (a plan that
         uses a table twice shares one relation; Spark re-aliases self-joins)."""

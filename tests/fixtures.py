@@ -1,7 +1,7 @@
 """Small in-code domain tables for golden tests.
 
-``FixtureDomain`` is a ``Domain`` whose tables are given DataFrames instead
-of views over the Parquet test tables.
+``FixtureDomain`` builds a ``Domain`` whose tables are given DataFrames
+instead of views over the Parquet test tables (``Domain.from_frames``).
 """
 
 from __future__ import annotations
@@ -11,11 +11,8 @@ import datetime as dt
 from storefront.sources.bindings import Domain
 
 
-class FixtureDomain(Domain):
-    def __init__(self, spark, **tables):
-        super().__init__(spark, "/nonexistent")
-        for name, df in tables.items():
-            self.__dict__[name] = df
+def FixtureDomain(spark, **tables) -> Domain:  # noqa: N802 - reads like the class it builds
+    return Domain.from_frames(spark, **tables)
 
 
 # ---- fixed values: the example rows embedded in the fulfilment statements --
