@@ -48,8 +48,4 @@ PLATFORM_SHOPIFY = "Shopify"
 TWO_DIGIT_YEAR_PIVOT = 2070     # 'yy' years parsed at or after this belong to the 1900s
 WEEKS_SHORT = 4
 WEEKS_LONG = 12
-WEEK_BEFORE_SHORT = (21, 24)
-WEEK_AFTER_SHORT = (25, 28)
-WEEK_BEFORE_LONG = (13, 24)
-WEEK_AFTER_LONG = (25, 36)
 MAX_WEEK = 53

@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.constants import CANCELLED_TEXT, MEMBER_PRIORITY
+from storefront.constants import BASELINE, CANCELLED_TEXT, MEMBER_PRIORITY, YEAR_LABELS
 from storefront.sources.tables import read_table
 
 
@@ -31,38 +31,49 @@ def _text(c) -> F.Column:
 class Domain:
     """The domain tables of one test-data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, year_labels=YEAR_LABELS, baseline=BASELINE):
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
+        # The shop's calendar as the mart analyses read it: the three year
+        # labels (any other year falls into the last) and the baseline week.
+        self.year_labels = tuple(year_labels)
+        self.baseline = baseline
 
     # The domain tables, as the analyses read them.
     DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "pizza_names", "pizza_recipes",
                      "pizza_toppings", "runner_orders", "runners", "raw_ratings", "weekly_sales")
 
     @classmethod
-    def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> Domain:
+    def from_frames(cls, spark: SparkSession, year_labels=YEAR_LABELS, baseline=BASELINE,
+                    **frames: DataFrame) -> Domain:
         """A domain over a shop's own tables given as DataFrames (any subset of
         ``DOMAIN_TABLES``); the analyses that read only those tables run on
-        them unchanged."""
+        them unchanged. An analysis that needs a table not given fails with
+        a message naming it (nothing falls back to the test tables)."""
         unknown = set(frames) - set(cls.DOMAIN_TABLES)
         if unknown:
             raise ValueError(f"not domain tables: {sorted(unknown)}")
-        domain = cls(spark, "")
+        domain = cls(spark, "", year_labels, baseline)
+        domain._frames_only = True
         for name, df in frames.items():
             domain.__dict__[name] = df  # takes the place of the derived view
         return domain
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, folder: str, names: tuple[str, ...] | None = None) -> Domain:
-        """A domain over ``<folder>/<name>.parquet`` for each of ``names``
-        (default: all domain tables)."""
-        names = names or cls.DOMAIN_TABLES
-        return cls.from_frames(spark, **{n: read_table(spark, folder, n) for n in names})
+    def from_parquet(cls, spark: SparkSession, folder: str, names: tuple[str, ...],
+                     year_labels=YEAR_LABELS, baseline=BASELINE) -> Domain:
+        """A domain over ``<folder>/<name>.parquet`` for each of ``names``."""
+        return cls.from_frames(spark, year_labels, baseline, **{n: read_table(spark, folder, n) for n in names})
+
+    _frames_only = False
 
     def table(self, name: str) -> DataFrame:
         """The Parquet table ``name``, listed once per domain (a plan that
         uses a table twice shares one relation; Spark re-aliases self-joins)."""
+        if self._frames_only:
+            given = sorted(k for k in self.DOMAIN_TABLES if k in self.__dict__)
+            raise LookupError(f"this analysis needs a domain table that was not given (given: {given})")
         if name not in self._tables:
             self._tables[name] = read_table(self.spark, self.sf_dir, name)
         return self._tables[name]
