@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import line_dedup, mixing
+from storefront.llm import decontaminate, line_dedup, mixing, simhash, warc
+from storefront.llm.shared import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +27,32 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to dictionary-compressed WARC archives and read back."""
+    path = new_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, least_revisit=100)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                  "refers_to")
+
+
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents holding 80 % or more of a test item's five-word shingles."""
+    found = decontaminate.leaks_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                                   shingle=5, share=0.8)
+    return found.select("row.doc_id", "leak.item_id", "leak.shared", "leak.size", "leak.containment")
+
+
+def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints link at 3 bits or fewer."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op5_warc_archives": op5_warc_archives,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op10_simhash_groups": op10_simhash_groups,
 }
 
 _LINES = """
@@ -75,4 +99,13 @@ SELECT doc_id, size, source_size, target,
        (size * (copies + CASE WHEN upto <= rest OR (upto - here < rest AND upto - rest < rest - (upto - here))
                               THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM (SELECT *, target - copies * source_size AS rest FROM running)""",
+    "op5_warc_archives": """
+WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f""",
 }
