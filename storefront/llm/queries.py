@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import decontaminate, line_dedup, mixing, simhash, warc
+from storefront.llm import decontaminate, line_dedup, mixing, quality_lm, simhash, topk, toxicity, url_filter, warc
 from storefront.llm.shared import new_path
 
 
@@ -21,12 +22,40 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the language model of trusted text finds likely enough."""
+    out = quality_lm.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), carry=("doc_id",))
+    return out.filter("keep").select("row.doc_id", "lang", "perplexity", "threshold")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed 3:1:2 to 150 % of all words, none above twice its size."""
     out = mixing.mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages judged by the URL lists in force when they were fetched.
+
+    Fetch times and dated list entries are derived from the tables: a page's
+    time from its id; an entry from each event, on the page its user id names
+    (host, parent domain, first folder or URL in turn), in the list of its
+    type, every third one a removal."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("at"))
+    named = events.join(pages, F.col("user_id") == F.col("page_id"))
+    host, kind = url_filter.url_host(F.col("url")), F.col("event_id") % 4
+    folder = F.concat(host, F.lit("/"), F.split(url_filter.url_path(F.col("url")), "/").getItem(1), F.lit("/"))
+    full = F.regexp_replace(F.regexp_replace("url", url_filter.SCHEME + "[^/?#]*", ""), "#.*", "")
+    key = (F.when(kind == 0, F.concat(F.lit("host:"), host))
+           .when(kind == 1, F.concat(F.lit("domain:"), F.regexp_replace(host, r"^[^.]*\.", "")))
+           .when(kind == 2, F.concat(F.lit("folder:"), folder)).otherwise(F.concat(F.lit("url:"), host, full)))
+    entries = named.select(F.col("event_type").alias("list"), key.alias("key"), (F.col("event_id") % 3 != 0).alias("added"), "at")
+    fetched = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, page_id * 7919 % 2592000)")
+    out = url_filter.judge(pages.withColumn("fetched", fetched), entries)
+    return out.select("row.page_id", "blocked", "n_rules", "lists")
+
+
 def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to dictionary-compressed WARC archives and read back."""
     path = new_path(spark, "warc")
@@ -42,17 +71,38 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "leak.item_id", "leak.shared", "leak.size", "leak.containment")
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector among all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the training labels."""
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints link at 3 bits or fewer."""
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_lm": op2_quality_lm,
     "op3_mix_sources": op3_mix_sources,
+    "op4_url_filter": op4_url_filter,
     "op5_warc_archives": op5_warc_archives,
     "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op8_exact_top_k": op8_exact_top_k,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash_groups": op10_simhash_groups,
+    "pipeline": pipeline,
 }
 
 _LINES = """
@@ -108,4 +158,41 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f""",
+    "op4_url_filter": r"""
+WITH p AS (
+        SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+               regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS raw_path,
+               regexp_extract(url, '^[^?#]*([?][^#]*)', 1) AS query,
+               TIMESTAMP '2024-01-01' + (page_id * 7919 % 2592000) * INTERVAL 1 SECOND AS fetched
+        FROM pages),
+    q AS (SELECT *, CASE WHEN raw_path = '' THEN '/' ELSE raw_path END AS path FROM p),
+    entries AS (
+        SELECT event_type AS list, ts AS at, bool_or(event_id % 3 <> 0) AS added,
+               CASE event_id % 4 WHEN 0 THEN 'host:' || host
+                    WHEN 1 THEN 'domain:' || regexp_replace(host, '^[^.]*[.]', '')
+                    WHEN 2 THEN 'folder:' || host || '/' || string_split(path, '/')[2] || '/'
+                    ELSE 'url:' || host || raw_path || query END AS key
+        FROM events JOIN q ON user_id = page_id GROUP BY ALL),
+    keys AS (
+        SELECT page_id, fetched, 'host:' || host AS key FROM q WHERE host <> ''
+        UNION SELECT page_id, fetched, 'url:' || host || path || query FROM q WHERE host <> ''
+        UNION SELECT page_id, fetched, 'domain:' || array_to_string(string_split(host, '.')[i:], '.')
+              FROM q, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')) + 1)) AS i) WHERE host <> ''
+        UNION SELECT page_id, fetched, 'folder:' || host || array_to_string(string_split(path, '/')[:i], '/') || '/'
+              FROM q, LATERAL (SELECT unnest(range(1, len(string_split(path, '/')))) AS i) WHERE host <> ''),
+    asked AS (SELECT * FROM keys, (SELECT DISTINCT list FROM entries)),
+    hits AS (
+        SELECT a.page_id, a.list FROM asked a ASOF JOIN entries e
+        ON a.key = e.key AND a.list = e.list AND a.fetched >= e.at WHERE e.added)
+SELECT q.page_id, count(h.page_id) > 0 AS blocked, count(h.page_id) AS n_rules,
+       coalesce(string_agg(DISTINCT h.list, ',' ORDER BY h.list), '') AS lists
+FROM q LEFT JOIN hits h ON q.page_id = h.page_id GROUP BY q.page_id""",
+    "op8_exact_top_k": """
+WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }

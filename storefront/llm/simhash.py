@@ -57,14 +57,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; fp is the fingerprint as a signed long."""
+    """(doc_id, text_key, fp) per row of ``docs``; fp is the fingerprint as a
+    signed long, text_key a hash of the text."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
+                                             ["doc_id", "text_key", "fp"])
 
-    rows = docs.select(column(docs, doc_id).alias("doc_id"), column(docs, text).alias("text"))
-    return rows.mapInArrow(score, f"doc_id {rows.schema[0].dataType.simpleString()}, fp long")
+    rows = docs.select(column(docs, doc_id).alias("doc_id"), F.xxhash64(column(docs, text)).alias("text_key"),
+                       column(docs, text).alias("text"))
+    return rows.mapInArrow(score, f"doc_id {rows.schema[0].dataType.simpleString()}, text_key long, fp long")
 
 
 def ball_masks(max_bits: int) -> tuple[np.ndarray, int]:
@@ -130,9 +133,9 @@ def links(fps: DataFrame, max_bits: int, per_bucket: int = PER_BUCKET) -> DataFr
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
                     max_bits: int = 3) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits) and
+    """Per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits),
     ``component_id``, the smallest id reachable over links of at most
-    ``max_bits`` differing bits."""
+    ``max_bits`` differing bits, and ``text_key``, a hash of the text."""
     fps = written(fingerprints(docs, text, doc_id, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
     pairs = written(links(written(distinct.select("fp"), "distinct-fingerprints"), max_bits), "links")
@@ -142,4 +145,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(F.col("doc_id").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0")
-                                        .alias("fingerprint"), "component_id")
+                                        .alias("fingerprint"), "component_id", "text_key")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay if one document of each group does: the
+    one with the smallest id (of rows with that id, one with the smallest
+    text hash). Rows without an id cannot stand for a group or be told from
+    each other, and stay."""
+    groups = near_duplicates(docs, text, doc_id, **options).withColumnRenamed(doc_id, "_id")
+    stays = groups.filter(F.col("_id") == F.col("component_id")).groupBy("_id").agg(F.min("text_key").alias("_key"))
+    rows = docs.select(F.struct(*[column(docs, c) for c in docs.columns]).alias("row"), column(docs, doc_id).alias("_id"),
+                       F.xxhash64(column(docs, text)).alias("_key"))
+    named = rows.join(stays, ["_id", "_key"], "left_semi").dropDuplicates(["_id"])
+    return named.select("row.*").unionByName(rows.filter(F.col("_id").isNull()).select("row.*"))
