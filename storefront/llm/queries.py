@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import decontaminate, line_dedup, mixing, quality_lm, simhash, topk, toxicity, url_filter, warc
+from storefront.llm import decontaminate, line_dedup, mixing, quality_lm, simhash, substring_dedup, topk, toxicity, url_filter, warc
 from storefront.llm.shared import new_path
 
 
@@ -64,6 +64,12 @@ def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   "refers_to")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 35 words that start anywhere else are removed."""
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents holding 80 % or more of a test item's five-word shingles."""
     found = decontaminate.leaks_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filter": op4_url_filter,
     "op5_warc_archives": op5_warc_archives,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_toxicity": op9_toxicity,
@@ -195,4 +202,17 @@ WITH v AS (
           FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op6_substring_dedup": r"""
+WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    places AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM words),
+    windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM places),
+    again AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows SEMI JOIN again USING (h)),
+    each AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM words),
+    kept AS (
+        SELECT e.doc_id, count(*) AS n_kept, string_agg(x, ' ' ORDER BY e.i) AS t
+        FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)""",
 }
