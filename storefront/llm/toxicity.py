@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from storefront.llm.shared import column, small_enough, written
 
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 _WORDS = re.compile(r"\w+")
 # Pattern voters over the unchanged text; the label model finds their polarity.
 PATTERNS = (r"(.)\1{4,}", r"!{2,}", r"\?{2,}", r"\w[*#$%@]{2,}\w", r"[*#$%&]{3,}", r"\b[A-Z]{4,}(?:\W+[A-Z]{4,}){3,}",
@@ -122,25 +122,27 @@ def label_model(fired: np.ndarray, prior: float, lexicon: int, rounds: int = 25)
             cov = centred.T @ centred / max(q.sum(), 1.0)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             corr = cov / sd[:, None] / sd[None, :]
-            say = 1.0 / np.where(corr > 0.2, corr, 0.0).sum(axis=1).clip(min=1.0)
+            say = 1.0 / np.where(corr > 0.5, corr, 0.0).sum(axis=1).clip(min=1.0)
         logit = np.log(prior / (1 - prior)) + x @ (np.log(on / off) * say)
         q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return q
 
 
-def logistic(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft labels ``q``
-    (gradient steps with momentum)."""
-    x = x.astype(np.float32)
-    n = len(x)
-    w, b = np.zeros(x.shape[1], dtype=np.float32), float(np.log((q.mean() + 1e-6) / (1 - q.mean() + 1e-6)))
-    vw, vb = np.zeros_like(w), 0.0
+def logistic(x: np.ndarray, q: np.ndarray, ridge: float = 0.3, rounds: int = 10) -> tuple[np.ndarray, float]:
+    """Weights and bias of a ridge logistic regression on soft labels ``q``,
+    by Newton steps."""
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-3
     for _ in range(rounds):
-        miss = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - q
-        vw = 0.9 * vw - 2.0 * (x.T @ miss.astype(np.float32) / n + ridge / n * w)
-        vb = 0.9 * vb - 0.5 * miss.mean()
-        w, b = w + vw, b + vb
-    return w, b
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(np.float64)))
+        slope = x.T.astype(np.float64) @ (q - p) - penalty * w
+        weighted = x * np.sqrt(np.maximum(p * (1 - p), 1e-4)).astype(np.float32)[:, None]
+        step = np.linalg.solve((weighted.T @ weighted).astype(np.float64) + np.diag(penalty), slope)
+        w += step
+        if np.abs(step).max() < 1e-3:
+            break
+    return w[:-1], float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_voters: int = 200,
