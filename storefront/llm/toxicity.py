@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_voters:
     middle = rate + z * z / (2 * F.col("n"))
     spread = z * F.sqrt(rate * (1 - rate) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))
     # Lower bound of the precision; how far the feature's toxic count is from chance.
-    ranked = (count_features(train, least=5).withColumn("sure", (middle - spread) / (1 + z * z / F.col("n")))
+    ranked = (count_features(train, least=max(5, n // 2000)).withColumn("sure", (middle - spread) / (1 + z * z / F.col("n")))
               .withColumn("far", F.abs(F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))))
     ranked = written(ranked, "toxicity-features")
     lexicon = [r["feature"] for r in ranked.filter(F.col("sure") > max(0.5, 2 * share if share < 0.4 else share))
