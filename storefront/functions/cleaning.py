@@ -16,7 +16,7 @@ from storefront.constants import (
     TWO_DIGIT_YEAR_PIVOT,
 )
 
-# Number at the start of a text such as '13.4km', '20 mins', '15'.
+# First number in a text such as '13.4km', '20 mins', '15'.
 NUMBER_PATTERN = r"(\d+(\.\d+)?)"
 
 
@@ -41,11 +41,12 @@ def literal_list(c, separator: str = LIST_SEPARATOR) -> Column:
 
 def id_list(c, pattern: str = LIST_SEPARATOR_PATTERN) -> Column:
     """Parse a delimited id list leniently: missing tokens give an empty list,
-    separators may or may not carry blanks, empty tokens are dropped and ids
-    keep their first-seen order without repeats."""
+    separators may or may not carry blanks, empty tokens are dropped. Ids keep
+    their order and their repeats; where a list means a set, wrap it in
+    ``array_distinct``."""
     cleaned = F.coalesce(normalise_missing(c), F.lit(""))
     tokens = F.transform(F.split(F.trim(cleaned), pattern), lambda t: F.trim(t))
-    return F.array_distinct(F.filter(tokens, lambda t: t != F.lit("")))
+    return F.filter(tokens, lambda t: t != F.lit(""))
 
 
 def in_delimited(text, token, separator: str = LIST_SEPARATOR) -> Column:
@@ -65,8 +66,9 @@ def pattern_capture(c, pattern: str, group: int = 1) -> Column:
 
 
 def extract_number(c, pattern: str = NUMBER_PATTERN, to: str = "double") -> Column:
-    """First number found in a text, as ``to``; NULL when there is none."""
-    return pattern_capture(c, pattern, 1).cast(to)
+    """First number found in a text, as ``to``; NULL when there is none or it
+    does not fit the type."""
+    return pattern_capture(c, pattern, 1).try_cast(to)
 
 
 def count_separators(c, separator: str = ",") -> Column:

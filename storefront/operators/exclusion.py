@@ -8,8 +8,9 @@ broadcast, as Spark decides) left-anti hash join:
     x NOT IN S  is TRUE  iff  S is empty, or
                               (x is not NULL, S holds no NULL and x is not in S)
 
-The two facts about S (empty? holds a NULL?) are uncorrelated EXISTS
-subqueries, each answered by a scan that stops at the first row.
+S is reduced to its distinct values first, by a partial aggregate: a value
+that a third of all rows hold is one row per task in the shuffle. The two facts about S (empty? holds a
+NULL?) come from one count over S next to that.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from pyspark.sql import functions as F
 
 def exclude_keys(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT other_key FROM other)``."""
-    values = other.select(F.col(other_key).alias("_excluded_key"))
-    present = values.filter(F.col("_excluded_key").isNotNull())
-    kept = df.join(present, df[key] == present["_excluded_key"], "left_anti")
-    set_is_empty = ~values.exists()
-    set_has_null = values.filter(F.col("_excluded_key").isNull()).exists()
-    return kept.filter(set_is_empty | (F.col(key).isNotNull() & ~set_has_null))
+    values = other.select(F.col(other_key).alias("_excluded_key")).distinct()
+    kept = df.join(values, df[key] == values["_excluded_key"], "left_anti")
+    # One row: how many values S has, and how many of them are not NULL.
+    n, known = F.count(F.lit(1)), F.count("_excluded_key")
+    verdict = values.agg(F.when(n == 0, "all").when(n > known, "none").otherwise("known")).scalar()
+    return kept.filter((verdict == "all") | ((verdict == "known") & F.col(key).isNotNull()))
 
 
 def missing_in_range(spark: SparkSession, values: DataFrame, col: str, low: int, high: int,
@@ -34,3 +35,15 @@ def missing_in_range(spark: SparkSession, values: DataFrame, col: str, low: int,
     semantics: a NULL among the values empties the answer)."""
     numbers = spark.range(low, high + 1).select(F.col("id").alias(out))
     return exclude_keys(numbers, out, values, col)
+
+
+def missing_in_range_by(values: DataFrame, group: str, col: str, low: int, high: int) -> DataFrame:
+    """Per value of ``group``, the integers ``low..high`` that do not occur in
+    ``col`` (NULLs among them are ignored, as by NOT EXISTS).
+
+    Values are made distinct once, by a partial aggregate; each group then
+    has at most one row per integer, which an array of them replaces."""
+    inside = F.when(F.col(col).between(low, high), F.col(col).cast("long"))
+    present = values.filter(F.col(group).isNotNull()).groupBy(group).agg(F.collect_set(inside).alias("_present"))
+    every = F.sequence(F.lit(low).cast("long"), F.lit(high).cast("long"))
+    return present.select(group, F.explode(F.array_except(every, "_present")).alias(col))

@@ -16,23 +16,20 @@ def explode_ids(df: DataFrame, ids: Column, out: str = "item_id", position: str
     return df.select("*", F.explode(ids).alias(out))
 
 
-def substrings(text: Column) -> Column:
-    """All distinct non-empty substrings of ``text`` (empty array for '' or NULL).
+def substrings(text: Column, lengths: Column) -> Column:
+    """All distinct substrings of ``text`` with one of ``lengths`` (an array;
+    empty array for '' or NULL text).
 
     A join ``text LIKE '%' || key || '%'`` for keys without wildcards is the
     same as an equi-join of ``key`` against these substrings, so a theta
-    (nested-loop) join becomes a hash join. The list grows with the square
-    of the text length; the texts it is used on are short code lists.
-    """
+    (nested-loop) join becomes a hash join. With the lengths that occur
+    among the keys nothing is lost, and the list grows in proportion to the text."""
     n = F.coalesce(F.length(text), F.lit(0))
     starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    per_start = F.transform(
-        starts,
-        lambda i: F.transform(F.sequence(F.lit(1), F.greatest(n - i + 1, F.lit(1))),
-                              lambda j: F.substring(text, i, j)),
-    )
-    found = F.filter(F.flatten(per_start), lambda s: F.length(s) > 0)
-    return F.when(n > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+    fitting = F.filter(lengths, lambda j: (j >= 1) & (j <= n))
+    per_length = F.transform(fitting, lambda j: F.transform(
+        F.filter(starts, lambda i: i + j - 1 <= n), lambda i: F.substring(text, i, j)))
+    return F.array_distinct(F.flatten(per_length))
 
 
 def compose_list(df: DataFrame, keys: Sequence[str], item: Column | str, out: str,

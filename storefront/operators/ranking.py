@@ -1,28 +1,35 @@
 """Rows at an extreme per entity, and top-k overall.
 
-``rows_at_extreme`` keeps ties. It aggregates the extreme per entity (partial
-aggregation, so a hot entity is reduced before the shuffle) and keeps the
-matching rows with a left-semi join on (entity, value): the semi join never
-fans out, and AQE can split a skewed join partition. A rank window would put
-all rows of one entity into one task instead.
+``rows_at_extreme`` keeps ties and reads its input once. Rows are ranked within
+(entity, salt) first, where Spark drops losers before the shuffle
+(``WindowGroupLimit``) and a hot entity is spread over the salts; the winners
+of the salts are then ranked within the entity.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 16
+
 
 def rows_at_extreme(df: DataFrame, entity: Sequence[str] | str, value: str,
                     first: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``value`` is the minimum (``first``) or maximum of
     their entity; all tied rows are kept, duplicates too."""
     keys = [entity] if isinstance(entity, str) else list(entity)
-    pick = F.min if first else F.max
-    extreme = df.groupBy(*keys).agg(pick(value).alias(value))
-    return df.join(extreme, keys + [value], "left_semi")
+    order = F.col(value).asc() if first else F.col(value).desc()
+    # The salt comes from the other columns: a date would keep each day's rows together.
+    others = [F.col(c) for c in df.columns if c not in (*keys, value)]
+    salted = df.filter(F.col(value).isNotNull() & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))) \
+        .withColumn("_salt", F.pmod(F.xxhash64(*others) if others else F.lit(0), F.lit(SALTS)))
+    for partition in ([*keys, "_salt"], keys):
+        place = F.rank().over(Window.partitionBy(*partition).orderBy(order))
+        salted = salted.withColumn("_rank", place).filter(F.col("_rank") == 1)
+    return salted.drop("_salt", "_rank")
 
 
 def top_overall(df: DataFrame, order: Sequence[Column], k: int = 1) -> DataFrame:

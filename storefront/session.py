@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans are tuned for. AQE re-plans joins from
@@ -53,20 +50,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local runs, tests) is a scratch folder created and registered.
+    There is no fallback: a folder of one machine would lose the rows that
+    the other machines wrote.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    local = tempfile.mkdtemp(prefix="storefront-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+                  or spark.sparkContext.getCheckpointDir())
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder, or name a location")
+    return configured.rstrip("/")

