@@ -102,7 +102,8 @@ def _with_discounts(grams: DataFrame) -> DataFrame:
 
     ds = per.select("lang", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return grams.join(ds, "lang").select("lang", "g", "c", d.alias("d"))
+    # One row per language: sent to the n-grams, which have few languages to be dealt by.
+    return grams.join(small_enough(written(ds, "discounts"), SMALL), "lang").select("lang", "g", "c", d.alias("d"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
