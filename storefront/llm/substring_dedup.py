@@ -12,9 +12,9 @@ spans are routed to the one shard that can hold their partners:
    row per anchor and task).
 2. Anchors that occur once end there. The others are put into a filter of
    fixed size (``filter_bytes``), broadcast; when it fills up it lets more
-   through, which costs work and changes no result. Very frequent anchors are
-   in a second such filter: their windows are counted themselves, and those
-   that may repeat go into a third.
+   through, which costs work and changes no result. Anchors that tasks would
+   send with very many spans are in a second such filter: their windows are
+   counted themselves, and those that may repeat go into a third.
 3. The runs of windows that passed are dealt to buckets by anchor, or by the
    window's own hash under a frequent anchor, so that no anchor gathers its
    occurrences in one task; a task sends equal spans once. Each bucket's spans
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,6 @@ from storefront.llm.suffix_automaton import SuffixAutomaton
 
 GRAM = 8
 REF = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("start", "<i4")])
-ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -54,40 +54,61 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+BASE = 0x9E3779B97F4A7C15
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word of ``text``."""
+    words, digest = (text or "").encode().split(), xxhash.xxh64_intdigest
+    return np.array([digest(w) for w in words], dtype=np.uint64)
+
+
+def rolling(values: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` values, from windows of powers of two."""
+    n = len(values) - size + 1
+    out, done, part, width = None, 0, values, 1
+    while True:
+        if size & width:  # take this width as the windows' next piece
+            piece = part[done:done + n]
+            out = piece if out is None else out * np.uint64(pow(BASE, width, 1 << 64)) + piece
+            done += width
+        if done == size:
+            return mixed(out)
+        part = part[:-width] * np.uint64(pow(BASE, width, 1 << 64)) + part[width:]
+        width *= 2
+
+
 class Windows:
-    """The windows of one text: token hashes, and runs of windows (start,
-    end) with a common anchor."""
+    """The windows of one text: word hashes, and runs of windows (start, end)
+    with a common anchor."""
 
     def __init__(self, text: str | None, size: int):
-        self.size = size
-        words = (text or "").encode().split()
-        if len(words) < size:
-            self.starts = np.empty(0, dtype=np.int64)
+        self.size, self.full = size, word_hashes(text)
+        if len(self.full) < size:
+            self.starts = self.ends = np.empty(0, dtype=np.int64)
+            self.anchors = np.empty(0, dtype=np.uint64)
             return
-        digest = xxhash.xxh64_intdigest
-        full = np.fromiter((digest(w) for w in words), dtype=np.uint64, count=len(words))
-        self.full, self.tokens = full, full.astype(np.uint32)
-        gram = np.zeros(len(full) - GRAM + 1, dtype=np.uint64)
-        for j in range(GRAM):
-            gram = gram * ODD + full[j:j + len(gram)]
-        gram = mixed(gram)
+        gram = rolling(self.full, GRAM)
         span = size - GRAM + 1  # grams in a window
-        place, width = np.arange(len(gram)), 1
-        while width < span:  # place[i]: leftmost smallest of the next `width` grams
+        place, least, width = np.arange(len(gram), dtype=np.int32), gram, 1
+        while width < span:  # place[i], least[i]: the leftmost smallest of the next `width` grams
             hop = min(width, span - width)
-            a, b = place[:-hop], place[hop:]
-            place, width = np.where(gram[b] < gram[a], b, a), width + hop
+            later = least[hop:] < least[:-hop]
+            place, least = np.where(later, place[hop:], place[:-hop]), np.where(later, least[hop:], least[:-hop])
+            width += hop
         self.starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         self.ends = np.r_[self.starts[1:], len(place)]
-        self.anchors = gram[place[self.starts]]
+        self.anchors = least[self.starts]
 
-    def hashes(self, at: int, end: int) -> np.ndarray:
-        """Hashes of the windows that start at ``at`` up to ``end``."""
-        part = self.full[at:end + self.size - 1]
-        out = np.zeros(end - at, dtype=np.uint64)
-        for j in range(self.size):
-            out = out * ODD + part[j:j + len(out)]
-        return mixed(out)
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        """Hashes of all windows."""
+        return rolling(self.full, self.size)
+
+    @cached_property
+    def spans(self) -> np.ndarray:
+        """Hashes of the runs' words: their first and last windows cover them."""
+        return mixed(self.hashes[self.starts] * np.uint64(BASE) + self.hashes[self.ends - 1])
 
 
 class Filter:
@@ -130,23 +151,33 @@ class Filter:
 
 
 def _counted(rows: DataFrame, hashes_of) -> DataFrame:
-    """(h, n): how often each hash occurs that ``hashes_of`` finds in a text."""
+    """(h, n, spans): how often each hash occurs that ``hashes_of`` finds in a
+    text, and how many rows with different spans the tasks will send for it.
+    ``hashes_of`` gives two arrays, the hashes and their spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = [], 0
             for text in batch.column(0):
                 held.append(hashes_of(text.as_py()))
-                size += len(held[-1])
+                size += len(held[-1][0])
                 if size > 500_000:
                     yield summed(held)
                     held, size = [], 0
             yield summed(held)
 
-    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *held]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        h, span = (np.concatenate([np.empty(0, dtype=np.uint64), *[x[i] for x in held]]) for i in (0, 1))
+        order = np.lexsort((span, h))
+        h, span = h[order], span[order]
+        new = np.r_[True, h[1:] != h[:-1]][:len(h)]
+        first = np.flatnonzero(new)
+        other = (new | np.r_[True, span[1:] != span[:-1]][:len(h)]).astype(np.int64)
+        spans = np.add.reduceat(other, first) if len(h) else other
+        return pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(np.diff(np.r_[first, len(h)])), pa.array(spans)],
+                                          ["h", "n", "spans"])
 
-    return rows.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(run, "h long, n long, spans long").groupBy("h").agg(
+        F.sum("n").alias("n"), F.sum("spans").alias("spans"))
 
 
 def _spans(rows: DataFrame, size: int, buckets: int, repeated, frequent, windows) -> DataFrame:
@@ -157,18 +188,19 @@ def _spans(rows: DataFrame, size: int, buckets: int, repeated, frequent, windows
             held: dict[tuple[int, bytes], list] = defaultdict(list)
             for k1, k2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = Windows(text.as_py(), size)
-                if not len(found.starts):
+                kept = repeated.value.has(found.anchors)
+                if not kept.any():
                     continue
-                kept = np.flatnonzero(repeated.value.has(found.anchors))
-                hot = frequent.value.has(found.anchors[kept])
-                for r, is_hot in zip(kept.tolist(), hot.tolist(), strict=True):
+                hot = kept & frequent.value.has(found.anchors)
+                tokens = found.full.astype(np.uint32).tobytes()
+                for r in np.flatnonzero(kept & ~hot).tolist():
                     at, end = int(found.starts[r]), int(found.ends[r])
-                    if not is_hot:
-                        held[int(found.anchors[r]), found.tokens[at:end + size - 1].tobytes()].append((k1, k2, at))
-                        continue
-                    own = found.hashes(at, end)
-                    for i in np.flatnonzero(windows.value.has(own)).tolist():
-                        held[int(own[i]), found.tokens[at + i:at + i + size].tobytes()].append((k1, k2, at + i))
+                    held[int(found.anchors[r]), tokens[4 * at:4 * (end + size - 1)]].append((k1, k2, at))
+                if hot.any():
+                    places = np.flatnonzero(np.repeat(hot, found.ends - found.starts))
+                    places = places[windows.value.has(found.hashes[places])]
+                    for at, key in zip(places.tolist(), found.hashes[places].tolist(), strict=True):
+                        held[key, tokens[4 * at:4 * (at + size)]].append((k1, k2, at))
                 if len(held) > 50_000:
                     yield packed(held)
                     held = defaultdict(list)
@@ -192,14 +224,16 @@ def _find(size: int, shard_words: int):
         for key, tokens, refs in zip(*columns, strict=True):
             spans[key][tokens].append(refs)
         out: list[np.ndarray] = []
-        shard: list[tuple[bytes, list[bytes], int]] = []
+        shard: list[tuple[list[int], np.ndarray]] = []
         words = 0
         for own in spans.values():
-            members = [(t, refs, sum(map(len, refs)) // REF.itemsize) for t, refs in own.items()]
-            if len(members) == 1 and members[0][2] == 1:
-                continue  # an anchor that passed the filter by chance
-            shard += members
-            words += sum(len(t) for t in own) // 4
+            members = [(np.frombuffer(t, dtype=np.uint32), np.frombuffer(b"".join(refs), dtype=REF)) for t, refs in own.items()]
+            # A span that occurs again as a whole repeats throughout.
+            out += [places_of(refs, 0, len(t)) for t, refs in members if len(refs) > 1]
+            if len(members) == 1:
+                continue  # all of the anchor's spans are equal, or it passed the filter by chance
+            shard += [(t.tolist(), refs) for t, refs in members]
+            words += sum(len(t) for t, _ in members)
             if words >= shard_words:
                 out += ranges(shard)
                 shard, words = [], 0
@@ -207,19 +241,23 @@ def _find(size: int, shard_words: int):
         got = np.concatenate([np.empty((0, 4), dtype=np.int64), *out])
         return pa.table({n: pa.array(got[:, i]) for i, n in enumerate(("k1", "k2", "start", "stop"))})
 
-    def ranges(shard: list[tuple[bytes, list[bytes], int]]) -> Iterator[np.ndarray]:
+    def places_of(refs: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """The words ``start`` to ``stop`` of a span, wherever it occurs."""
+        first = refs["start"].astype(np.int64)
+        return np.stack([refs["k1"], refs["k2"], first + start, first + stop], axis=1)
+
+    def ranges(shard: list[tuple[list[int], np.ndarray]]) -> Iterator[np.ndarray]:
         automaton = SuffixAutomaton()
-        references = [np.frombuffer(t, dtype=np.uint32).tolist() for t, _, _ in shard]
-        for sequence, (_, _, times) in zip(references, shard, strict=True):
-            automaton.add(sequence, times)
+        for sequence, refs in shard:
+            automaton.add(sequence, len(refs))
         automaton.total()
-        for sequence, (_, refs, _) in zip(references, shard, strict=True):
+        for sequence, refs in shard:
+            if len(refs) > 1:
+                continue
             again = np.array([False, *automaton.repeated_windows(sequence, size), False])
             edges = np.flatnonzero(again[1:] != again[:-1])
-            places = np.frombuffer(b"".join(refs), dtype=REF)
             for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                first = places["start"].astype(np.int64) + start
-                yield np.stack([places["k1"], places["k2"], first, first + (stop - start) + size - 1], axis=1)
+                yield places_of(refs, start, stop + size - 1)
     return run
 
 
@@ -234,20 +272,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = docs.select(column(docs, doc_id).alias("doc_id"), F.coalesce(column(docs, text), F.lit("")).alias("text"))
     rows = rows.select("*", *text_key(F.col("doc_id"), F.col("text")))
 
-    def anchors_of(one: str) -> np.ndarray:
+    def anchors_of(one: str) -> tuple[np.ndarray, np.ndarray]:
         found = Windows(one, window)
-        return found.anchors if len(found.starts) else np.empty(0, dtype=np.uint64)
+        return found.anchors, found.spans if len(found.anchors) else found.anchors
 
     anchors = written(_counted(rows, anchors_of).filter("n > 1"), "repeated-anchors")
     repeated = context.broadcast(Filter.of(anchors.select("h"), filter_bytes))
-    hot = context.broadcast(Filter.of(anchors.filter(F.col("n") > frequent).select("h"), filter_bytes // 32))
+    hot = context.broadcast(Filter.of(anchors.filter(F.col("spans") > frequent).select("h"), filter_bytes // 32))
 
-    def hot_windows_of(one: str) -> np.ndarray:
+    def hot_windows_of(one: str) -> tuple[np.ndarray, np.ndarray]:
         found = Windows(one, window)
-        if not len(found.starts):
-            return np.empty(0, dtype=np.uint64)
-        at = np.flatnonzero(hot.value.has(found.anchors))
-        return np.concatenate([np.empty(0, dtype=np.uint64), *[found.hashes(int(found.starts[r]), int(found.ends[r])) for r in at]])
+        own = hot.value.has(found.anchors)
+        h = found.hashes[np.repeat(own, found.ends - found.starts)] if own.any() else found.anchors[:0]
+        return h, h
 
     again = _counted(rows, hot_windows_of).filter("n > 1").select("h")
     windows = context.broadcast(Filter.of(again, filter_bytes // 4))

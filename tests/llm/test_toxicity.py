@@ -65,11 +65,15 @@ def test_empty_tables_and_one_class(spark, documents):
     assert len(none) == 60 and all(r["score"] < 1e-5 for r in none)
 
 
-def test_label_model_without_labels():
+def test_label_model_learns_which_voters_to_trust():
     rng = np.random.default_rng(0)
-    y = rng.random(3000) < 0.2
-    rates = np.linspace(0.3, 0.7, 8)
-    fired = np.where(y[:, None], rng.random((3000, 8)) < rates, rng.random((3000, 8)) < 0.005)
-    fired = np.hstack([fired, fired[:, :1]]).astype(np.uint8)  # a copied voter has no say of its own
+    y = rng.random(4000) < 0.2
+    good = np.where(y[:, None], rng.random((4000, 8)) < 0.5, rng.random((4000, 8)) < 0.0005)
+    noise = rng.random((4000, 2)) < 0.1  # patterns that say nothing about the class
+    fired = np.hstack([good, good[:, :1], noise]).astype(np.uint8)  # with a copy of the first voter
     q = toxicity.label_model(fired, 0.2, 9)
-    assert ((q > 0.5) == y).mean() > 0.97
+    assert ((q > 0.5) == y).mean() > 0.985
+    silent = ~good.any(axis=1)
+    assert q[silent].max() < 0.2
+    flipped = toxicity.label_model(fired[:, [8, *range(1, 8), 0, 9, 10]], 0.2, 9)
+    assert np.allclose(q, flipped)  # a voter and its copy share one say
