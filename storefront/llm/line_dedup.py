@@ -47,6 +47,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
 
     per_doc = hashed.select(F.explode(F.array_distinct("hs")).alias("h")).filter("h IS NOT NULL")
     frequent = per_doc.groupBy("h.a", "h.b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+    # Written first: a join that shuffles both sides itself can be split where one line has most rows.
+    frequent = written(frequent.select("a", "b"), "frequent-lines")
 
     lines = (hashed.select("_k1", "_k2", F.posexplode("hs").alias("pos", "h"))
              .filter("h IS NOT NULL").select("_k1", "_k2", "pos", "h.a", "h.b"))

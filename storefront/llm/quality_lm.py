@@ -94,11 +94,11 @@ def _with_discounts(grams: DataFrame) -> DataFrame:
     each count, from the language's counts of counts."""
     having = [F.count(F.when(F.col("c") == i, 1)).cast("double").alias(f"n{i}") for i in range(1, 5)]
     per = grams.groupBy("lang").agg(*having)
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
 
     def discount(i: int) -> Column:
-        found = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
-        return F.when((F.col("n1") > 0) & (F.col(f"n{i}") > 0) & found.between(0.05, float(i)), found).otherwise(0.5 * i)
+        found = i - (i + 1) * y * F.try_divide(f"n{i + 1}", f"n{i}")
+        return F.when(found.between(0.05, float(i)), found).otherwise(0.5 * i)  # null where counts are missing
 
     ds = per.select("lang", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
     d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))

@@ -35,7 +35,8 @@ from storefront.llm.components import components
 from storefront.llm.shared import column, written
 
 SEED = 42
-PER_BUCKET = 250_000
+PER_BUCKET = 250_000  # variants sorted at once
+PER_TASK = 4096  # fingerprints that one task makes variants of
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -83,7 +84,8 @@ def links(fps: DataFrame, max_bits: int, per_bucket: int = PER_BUCKET) -> DataFr
     """(u, v) between distinct fingerprints of ``fps`` (fp) whose connected
     groups are those of all pairs within ``max_bits`` bits."""
     masks, near = ball_masks(max_bits)
-    buckets = max(1, -(-fps.count() * len(masks) // per_bucket))
+    n = fps.count()
+    buckets = max(1, -(-n * len(masks) // per_bucket))
     record = np.dtype([("variant", "<u8"), ("mask", "<u2" if len(masks) <= 65536 else "<u4")])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +129,8 @@ def links(fps: DataFrame, max_bits: int, per_bucket: int = PER_BUCKET) -> DataFr
         pairs = np.unique(np.stack([hub[linked], fp[linked]], axis=1), axis=0)
         return pa.table({"u": pa.array(pairs[:, 0].view(np.int64)), "v": pa.array(pairs[:, 1].view(np.int64))})
 
-    variants = fps.mapInArrow(emit, "bucket long, variants binary")
+    spread = fps.repartition(max(1, -(-n // PER_TASK)), "fp")  # each row makes hundreds
+    variants = spread.mapInArrow(emit, "bucket long, variants binary")
     return variants.groupBy("bucket").applyInArrow(meet, "u long, v long").distinct()
 
 

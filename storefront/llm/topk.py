@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from storefront.llm.shared import column, written
 
-LEAF = 128
+LEAF, QUERY_LEAF = 128, 8  # members below which a node is not split
 NONE = np.iinfo(np.int64).min
 
 
@@ -45,14 +45,14 @@ class Node:
         self.norm = float(np.linalg.norm(centre))
 
 
-def cover_tree(points: np.ndarray, members: np.ndarray | None = None) -> Node:
+def cover_tree(points: np.ndarray, members: np.ndarray | None = None, leaf: int = LEAF) -> Node:
     members = np.arange(len(points)) if members is None else members
     own = points[members].astype(np.float64)
     far = np.linalg.norm(own - own[0], axis=1)
     radius, children = float(far.max()), []
-    if len(members) > LEAF and radius > 0:
+    if len(members) > leaf and radius > 0:
         nearest, home, centres = far.copy(), np.zeros(len(members), dtype=np.int64), 1
-        while nearest.max() > radius / 2 and centres <= len(members) // 16:
+        while nearest.max() > radius / 2 and centres <= len(members) // max(2, leaf // 8):
             at = int(nearest.argmax())
             d = np.linalg.norm(own - own[at], axis=1)
             home[d < nearest] = centres
@@ -61,7 +61,7 @@ def cover_tree(points: np.ndarray, members: np.ndarray | None = None) -> Node:
         if nearest.max() <= radius / 2:
             groups = [np.flatnonzero(home == i) for i in range(centres)]
             # a child's centre is its first member: put the chosen point there
-            children = [cover_tree(points, members[g[np.argsort(nearest[g], kind="stable")]]) for g in groups]
+            children = [cover_tree(points, members[g[np.argsort(nearest[g], kind="stable")]], leaf) for g in groups]
     return Node(members, own[0], radius, children)
 
 
@@ -124,7 +124,7 @@ def best_of_block(block: pa.Table, group: pa.Table, k: int) -> pa.Table:
     if largest < 2**52:  # exact in doubles, whose products are much faster
         p, q = p.astype(np.float64), q.astype(np.float64)
     best = Best(q, q_ids, p_ids, p, k)
-    search(cover_tree(q), cover_tree(p), best)
+    search(cover_tree(q, leaf=QUERY_LEAF), cover_tree(p), best)
     row, col = np.nonzero(best.score > NONE)
     return pa.table({"query_id": q_ids[row], "vec_id": best.id[row, col], "score": best.score[row, col]})
 

@@ -54,7 +54,7 @@ def test_pruned_tree_search_is_exact():
             calls.append(len(rows) * len(found))
             super().add(rows, found)
     best = Counted(queries, np.arange(0, 5000, 50), np.arange(5000), points, 5)
-    topk.search(topk.cover_tree(queries), tree, best)
+    topk.search(topk.cover_tree(queries, leaf=topk.QUERY_LEAF), tree, best)
     scores = (queries @ points.T).astype(np.int64)
     scores[np.arange(100), np.arange(0, 5000, 50)] = np.iinfo(np.int64).min
     assert (best.score == np.sort(scores, axis=1)[:, ::-1][:, :5]).all()
