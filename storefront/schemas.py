@@ -59,7 +59,7 @@ PIZZA_RECIPES = Table(_columns(pizza_id=LongType, toppings=StringType))
 CUSTOMER_ORDERS = Table(
     _columns(order_id=LongType, customer_id=LongType, pizza_id=LongType, exclusions=StringType, extras=StringType,
              order_time=TimestampNTZType),
-    max_length={"exclusions": 8, "extras": 8},  # the widest list of the bound tables, '7, 24', fits
+    max_length={"exclusions": 4, "extras": 4},
 )
 CLEAN_WEEKLY_SALES = Table(
     _columns(week_date=DateType, week_number=LongType, month_number=LongType, calendar_year=StringType, age_band=StringType,
