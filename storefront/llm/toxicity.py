@@ -74,7 +74,13 @@ def count_features(train: DataFrame, least: int) -> DataFrame:
                 own = features(text.as_py())
                 names.extend(own)
                 bad.extend([toxic] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad, pa.int32())], ["feature", "bad"])
+                if len(names) > 100_000:
+                    yield batch_of(names, bad)
+                    names, bad = [], []
+            yield batch_of(names, bad)
+
+    def batch_of(names: list[str], bad: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad, pa.int32())], ["feature", "bad"])
 
     rows = train.select("text", "toxic").mapInArrow(run, "feature string, bad int")
     return rows.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).filter(F.col("n") >= least)
