@@ -67,5 +67,5 @@ def test_cli_lists_queries(capsys):
     from storefront.__main__ import main
     assert main([]) == 0
     listed = capsys.readouterr().out.splitlines()
-    assert len(listed) == len(entry.queries())
+    assert len(listed) == len(registry.queries())
     assert main(["no_such_query"]) == 2
