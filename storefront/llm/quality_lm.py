@@ -39,7 +39,7 @@ START = 2  # unit that stands before a text's first one
 CHUNK = 1 << 20
 MASK = [(1 << (BITS * n)) - 1 if n < ORDER else -1 for n in range(ORDER + 1)]
 NO_LANG = "\x00"
-SMALL = 4_000_000  # rows of (id, flag) or per language that may be broadcast
+SMALL = 1_000_000  # rows of (id, flag) or per language that may be broadcast
 
 
 def units(text: str) -> np.ndarray:

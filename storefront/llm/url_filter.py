@@ -58,12 +58,20 @@ def url_keys(url: Column, labels: int, folders: int) -> Column:
 
 def validity(entries: DataFrame) -> DataFrame:
     """(list, key, valid_from, valid_to) from dated changes ``entries`` (list,
-    key, added, at): each lasts to the rule's next change; removals end."""
+    key, added, at): each lasts to the rule's next change; removals end.
+
+    The next change is looked for among the rule's changes of the same day,
+    then at its next day with changes, so a rule that changes very often is
+    dealt by day and has one row a day where its days meet."""
     dated = entries.filter(F.col("list").isNotNull() & F.col("key").isNotNull() & F.col("added").isNotNull()
                            & F.col("at").isNotNull())
     changes = dated.groupBy("list", "key", "at").agg(F.max("added").alias("added"))
-    until = F.lead("at").over(Window.partitionBy("list", "key").orderBy("at"))
-    return changes.withColumn("valid_to", until).filter("added").select("list", "key", F.col("at").alias("valid_from"), "valid_to")
+    rule, changes = ["list", "key"], changes.withColumn("day", F.to_date("at"))
+    days = changes.groupBy(*rule, "day").agg(F.min("at").alias("start"))
+    days = days.select(*rule, "day", F.lead("start").over(Window.partitionBy(*rule).orderBy("day")).alias("later"))
+    today = F.lead("at").over(Window.partitionBy(*rule, "day").orderBy("at"))
+    until = changes.withColumn("today", today).join(days, [*rule, "day"]).filter("added")
+    return until.select(*rule, F.col("at").alias("valid_from"), F.coalesce("today", "later").alias("valid_to"))
 
 
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
