@@ -143,13 +143,18 @@ def _shard(model: DataFrame, shard: int, shards: int) -> dict:
     """The model's tables for one shard: (lang, kind, n) -> sorted codes, values."""
     unit = F.when(F.col("kind") == "gram", F.shiftrightunsigned("code", BITS)).otherwise(F.col("code")).bitwiseAND(F.lit(0xFFFF))
     everywhere = (F.col("n") == 0) | ((F.col("kind") == "gram") & (F.col("n") == 1))
-    rows = model.filter(everywhere | (unit % shards == shard)).toArrow()
+    name = F.concat_ws("\x1f", "lang", "kind", F.col("n").cast("string"))
+    rows = model.filter(everywhere | (unit % shards == shard)).select(name.alias("name"), "code", "value").toArrow()
     code, value = rows.column("code").to_numpy().view(np.uint64), rows.column("value").to_numpy()
-    names = rows.select(["lang", "kind", "n"]).to_pandas()
+    names = pa.concat_arrays(rows.column("name").chunks).dictionary_encode()  # few names: held once each
+    which = names.indices.to_numpy()
+    order = np.lexsort((code, which))
+    ends = np.cumsum(np.bincount(which, minlength=len(names.dictionary)))
     tables = {}
-    for key, at in names.groupby(["lang", "kind", "n"]).indices.items():
-        order = at[np.argsort(code[at], kind="stable")]
-        tables[key] = (code[order], value[order])
+    for i, text in enumerate(names.dictionary.to_pylist()):
+        lang, kind, n = text.rsplit("\x1f", 2)
+        own = order[(ends[i - 1] if i else 0):ends[i]]
+        tables[lang, kind, int(n)] = (code[own], value[own])
     return tables
 
 

@@ -142,9 +142,13 @@ def logistic(x: np.ndarray, q: np.ndarray, ridge: float = 0.3, rounds: int = 10)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(np.float64)))
-        slope = x.T.astype(np.float64) @ (q - p) - penalty * w
-        weighted = x * np.sqrt(np.maximum(p * (1 - p), 1e-4)).astype(np.float32)[:, None]
-        step = np.linalg.solve((weighted.T @ weighted).astype(np.float64) + np.diag(penalty), slope)
+        slope = (x.T @ (q - p).astype(np.float32)).astype(np.float64) - penalty * w
+        weights = np.maximum(p * (1 - p), 1e-4).astype(np.float32)
+        curve = np.diag(penalty)
+        for at in range(0, len(x), 2048):
+            part = x[at:at + 2048]
+            curve += part.T @ (part * weights[at:at + 2048, None])
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-3:
             break
