@@ -74,3 +74,21 @@ def test_extremes_of_a_hot_entity(spark):
     df = spark.range(5000).select(F.lit("hot").alias("e"), (F.col("id") % 50).alias("d"), F.col("id").alias("x"))
     got = rows_at_extreme(df, "e", "d", first=False)
     assert sorted(r["x"] for r in got.collect()) == [i for i in range(5000) if i % 50 == 49]
+
+
+def test_an_extra_listed_twice_counts_twice(spark):
+    from storefront.sources.bindings import Domain
+    frame = spark.createDataFrame
+    shop = Domain.from_frames(
+        spark,
+        customer_orders=frame([(1, 1, 1, None, "7, 7", NOW)], CUSTOMER_ORDERS.schema),
+        runner_orders=frame([(1, 1, NOW, "1km", "5 minutes", None)],
+                            "order_id long, runner_id long, pickup_time timestamp_ntz, distance string, duration string, cancellation string"),
+        pizza_names=frame([(1, "P")], "pizza_id long, pizza_name string"),
+        pizza_recipes=frame([(1, "7")], "pizza_id long, toppings string"),
+        pizza_toppings=frame([(7, "Beef")], "topping_id long, topping_name string"))
+    assert rows(ful.revenue_with_extras_asked(shop, prices={"P": 12})) == [(14,)]
+    assert rows(ful.ingredient_totals_asked(shop)) == [("Beef", 3)]
+    assert rows(ful.top_extra_asked(shop)) == [("Beef", 2)]
+    assert rows(ful.order_item_text_asked(shop)) == [(1, "P - Extra Beef, Beef")]
+    assert rows(ful.ingredient_list_asked(shop)) == [(1, "P: 2xBeef")]
