@@ -14,13 +14,16 @@ each shard in turn, adding up log probabilities. Texts are never shuffled.
 A document's perplexity is taken with ``prior_units`` further units at its
 language's mean, so a text of a few words is not judged on chance. It is rejected
 above its language's threshold: a quantile of the trusted documents'
-perplexities, times a slack.
+perplexities out of fold. Trusted texts are dealt into FOLDS folds by their
+hash (equal texts share one), and each is scored by a model of the other
+folds, whose counts are all counts less the fold's own. So the threshold is
+that of texts the model has not seen, as the judged ones are.
 
 Defined results: null and empty texts have no perplexity and are kept, as are
-documents in a language without trusted text; a null language is a language
-of its own; a document is trusted if it has labels and all are positive; a
-null id is never trusted; repeated rows are each judged; lone surrogates
-count as units.
+documents in a language without trusted text, or with trusted text in one fold
+only (no threshold); a null language is a language of its own; a document is
+trusted if it has labels and all are positive; a null id is never trusted;
+repeated rows are each judged; lone surrogates count as units.
 """
 
 from __future__ import annotations
@@ -31,14 +34,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from storefront.llm.shared import column, small_enough, written
+from storefront.llm.shared import column, small_enough, text_key, written
 
 ORDER, BITS = 4, 16
 START = 2  # unit that stands before a text's first one
 CHUNK = 1 << 20
 MASK = [(1 << (BITS * n)) - 1 if n < ORDER else -1 for n in range(ORDER + 1)]
 NO_LANG = "\x00"
+FOLDS, WHOLE = 5, "all"  # models are named by the fold they leave out, ':' and the language
+SUMS = ["total", "n", "out_total", "out_n"]  # log probability and windows, by all folds and without the own one
 SMALL = 1_000_000  # rows of (id, flag) or per language that may be broadcast
 
 
@@ -65,28 +71,34 @@ def pieces(text: str) -> Iterator[np.ndarray]:
 
 
 def count_ngrams(trusted: DataFrame) -> DataFrame:
-    """(lang, g, c): how often each 4-gram occurs in ``trusted`` (lang, text)."""
+    """(lang, g, c): how often each 4-gram occurs in ``trusted`` (lang, text,
+    fold), for each language's model of all folds and of all but one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[str, list[np.ndarray]] = {}
+            held: dict[tuple[str, int], list[np.ndarray]] = {}
             size = 0
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for lang, text, fold in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 for piece in pieces(text.as_py()):
-                    held.setdefault(lang, []).append(piece)
+                    held.setdefault((lang, fold), []).append(piece)
                     size += len(piece)
                 if size >= 4 * CHUNK:
                     yield from summed(held)
                     held, size = {}, 0
             yield from summed(held)
 
-    def summed(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for lang, found in held.items():
+    def summed(held: dict[tuple[str, int], list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for (lang, fold), found in held.items():
             g, c = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.view(np.int64)), pa.array(c)],
-                                             ["lang", "g", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array([fold] * len(g), pa.int64()),
+                                              pa.array(g.view(np.int64)), pa.array(c)], ["lang", "fold", "g", "c"])
 
-    parts = trusted.mapInArrow(run, "lang string, g long, c long")
-    return parts.groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    parts = trusted.mapInArrow(run, "lang string, fold long, g long, c long")
+    own = [F.coalesce(F.sum(F.when(F.col("fold") == i, F.col("c"))), F.lit(0)) for i in range(FOLDS)]
+    counts = parts.groupBy("lang", "g").agg(F.sum("c").alias("c"), F.array(*own).alias("own"))
+    models = F.array(F.struct(F.lit(WHOLE).alias("name"), F.col("c")),
+                     *[F.struct(F.lit(str(i)).alias("name"), (F.col("c") - F.col("own")[i]).alias("c")) for i in range(FOLDS)])
+    return (counts.select("lang", "g", F.explode(models).alias("m")).filter("m.c > 0")
+            .select(F.concat("m.name", F.lit(":"), "lang").alias("lang"), "g", "m.c"))
 
 
 def _with_discounts(grams: DataFrame) -> DataFrame:
@@ -185,8 +197,20 @@ def log_probabilities(tables: dict, lang: str, found: np.ndarray) -> np.ndarray:
     return out
 
 
+def _added(parts: list[DataFrame]) -> DataFrame:
+    """(_k1, _k2, total, n, out_total, out_n): the shards' sums for each text,
+    added in the order of the shards; repeated texts count once."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    once = rows.groupBy("_k1", "_k2", "shard").agg(*[F.max(c).alias(c) for c in SUMS])
+    per = once.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct("shard", *SUMS))).alias("s"))
+    add = [F.aggregate(F.col(f"s.{c}"), F.lit(0).cast("long" if c.endswith("n") else "double"), lambda a, x: a + x).alias(c) for c in SUMS]
+    return per.select("_k1", "_k2", *add)
+
+
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-             label: str = "quality", carry: tuple[str, ...] | None = None, quantile: float = 0.995, slack: float = 1.4,
+             label: str = "quality", carry: tuple[str, ...] | None = None, quantile: float = 0.995,
              prior_units: int = 100, shard_entries: int = 3_000_000) -> DataFrame:
     """(row, lang, perplexity, threshold, keep, trusted) per row of ``docs``;
     ``row`` is a struct of the columns ``carry`` (all, if None)."""
@@ -196,57 +220,78 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
                        F.coalesce(column(docs, lang), F.lit(NO_LANG)).alias("lang"),
                        F.coalesce(column(docs, text), F.lit("")).alias("text"))
     side = small_enough(trusted_ids.select("_id", F.lit(True).alias("trusted")), SMALL)
-    trusted = rows.join(side, "_id", "left_semi").select("lang", "text")
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("long")
+    trusted = rows.join(side, "_id", "left_semi").select("lang", "text", fold.alias("fold"))
     model = kneser_ney(count_ngrams(trusted))
     shards = max(1, -(-model.count() // shard_entries))
 
-    scored = rows.join(side, "_id", "left").select("row", "lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"),
-                                                   F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("n"))
-    schema = scored.schema
+    given = rows.join(side, "_id", "left").select("row", "lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"),
+                                                  F.when(F.col("trusted"), fold).alias("fold"))
+    sums = [T.StructField(c, T.LongType() if c.endswith("n") else T.DoubleType()) for c in SUMS]
 
-    def pass_shard(shared, shard: int) -> callable:
+    def pass_shard(shared, shard: int, through: list[str]) -> callable:
+        """Adds the sums of one shard to the columns ``through``: the log
+        probability and windows by the model of all folds, and (trusted
+        rows) by the model without the row's own fold."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tables = shared.value
             known = {key[0] for key in tables}
             for batch in batches:
-                total = batch.column("total").to_numpy().copy()
-                n = batch.column("n").to_numpy().copy()
-                held: dict[str, list[tuple[int, np.ndarray]]] = {}
+                total, n = np.zeros((2, batch.num_rows)), np.zeros((2, batch.num_rows), dtype=np.int64)
+                held: dict[tuple[int, str], list[tuple[int, np.ndarray]]] = {}
                 size = 0
-                for i, language in enumerate(batch.column("lang").to_pylist()):
-                    if language not in known:
+                for i, (language, left_out) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("fold").to_pylist(), strict=True)):
+                    models = [(k, name) for k, name in enumerate((f"{WHOLE}:{language}", f"{left_out}:{language}")) if name in known]
+                    if not models:
                         continue
                     for piece in pieces(batch.column("text")[i].as_py()):
-                        held.setdefault(language, []).append((i, piece))
-                        size += len(piece)
+                        for which in models:
+                            held.setdefault(which, []).append((i, piece))
+                            size += len(piece)
                         if size >= CHUNK:
                             add(held, total, n, tables)
                             held, size = {}, 0
                 add(held, total, n, tables)
-                columns = [batch.column(c) for c in ("row", "lang", "text", "trusted")] + [pa.array(total), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "lang", "text", "trusted", "total", "n"])
+                columns = [batch.column(c) for c in through] + [pa.array(x) for k in (0, 1) for x in (total[k], n[k])]
+                yield pa.RecordBatch.from_arrays(columns, [*through, *SUMS])
 
         def add(held: dict, total: np.ndarray, n: np.ndarray, tables: dict) -> None:
-            for language, found in held.items():
+            for (k, name), found in held.items():
                 doc = np.repeat([i for i, _ in found], [len(p) for _, p in found])
                 code = np.concatenate([p for _, p in found])
                 if shards > 1:
                     mine = (code >> np.uint64(BITS) & np.uint64(0xFFFF)) % np.uint64(shards) == shard
                     doc, code = doc[mine], code[mine]
-                total += np.bincount(doc, weights=log_probabilities(tables, language, code), minlength=len(total))
-                n += np.bincount(doc, minlength=len(n))
+                total[k] += np.bincount(doc, weights=log_probabilities(tables, name, code), minlength=total.shape[1])
+                n[k] += np.bincount(doc, minlength=n.shape[1])
         return run
 
-    for shard in range(shards):
+    def passed(df: DataFrame, shard: int, through: list[str], name: str) -> DataFrame:
+        """One pass past one shard, written, so that no other shard is held beside it."""
         tables = docs.sparkSession.sparkContext.broadcast(_shard(model, shard, shards))
-        scored = scored.mapInArrow(pass_shard(tables, shard), schema)
-    scored = written(scored.select("row", "lang", "trusted", "total", "n"), "perplexities")
-    means = written(scored.filter("trusted AND n > 0").groupBy("lang").agg((F.sum("total") / F.sum("n")).alias("mean")), "language-means")
+        schema = T.StructType([*[df.schema[c] for c in through], *sums])
+        out = written(df.mapInArrow(pass_shard(tables, shard, through), schema), name)
+        tables.unpersist()
+        return out
+
+    if shards == 1:
+        scored = passed(given, 0, ["row", "lang", "trusted"], "perplexities")
+    else:
+        given = given.select("*", *text_key(F.col("lang"), F.col("text"), F.col("fold")))
+        texts = given.select("_k1", "_k2", "lang", "text", "fold")
+        parts = [passed(texts, shard, ["_k1", "_k2"], f"perplexities-{shard}").withColumn("shard", F.lit(shard)) for shard in range(shards)]
+        scored = given.select("row", "lang", "trusted", "_k1", "_k2").join(written(_added(parts), "text-sums"), ["_k1", "_k2"])
+        scored = written(scored.drop("_k1", "_k2"), "perplexities")
+    means = written(scored.filter("trusted AND n > 0").groupBy("lang").agg(F.coalesce(
+        F.try_divide(F.sum("out_total"), F.sum("out_n")), F.sum("total") / F.sum("n")).alias("mean")), "language-means")
     scored = scored.join(small_enough(means, SMALL), "lang", "left")
-    smooth = F.exp(-(F.col("total") + prior_units * F.col("mean")) / (F.col("n") + prior_units))
-    scored = scored.withColumn("perplexity", F.when(F.col("n") > 0, smooth))
+
+    def perplexity(total: str, n: str) -> Column:
+        return F.when(F.col(n) > 0, F.exp(-(F.col(total) + prior_units * F.col("mean")) / (F.col(n) + prior_units)))
+
+    scored = scored.withColumn("perplexity", perplexity("total", "n"))
     limits = written(scored.filter("trusted").groupBy("lang").agg(
-        (F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * F.lit(slack)).alias("threshold")), "thresholds")
+        F.percentile_approx(perplexity("out_total", "out_n"), F.lit(quantile), F.lit(10_000)).alias("threshold")), "thresholds")
     judged = scored.join(small_enough(limits, SMALL), "lang", "left")
     keep = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     language = F.when(F.col("lang") != NO_LANG, F.col("lang"))

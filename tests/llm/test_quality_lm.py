@@ -93,6 +93,19 @@ def test_scores_match_the_definition(spark, documents, corpus, shard_entries):
     assert 200 in gone and not gone & good
 
 
+def test_threshold_is_the_quantile_of_trusted_texts_out_of_fold(spark, documents, corpus):
+    rows, labels = corpus
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    df = documents(rows)
+    out = Q.classify(df, lab, carry=("doc_id", "text"), prior_units=0).collect()
+    fold = {r["text"]: r["f"] for r in df.select("text", F.pmod(F.xxhash64("text"), F.lit(Q.FOLDS)).alias("f")).collect()}
+    for lang, ids in (("en", range(50)), ("fr", range(100, 125))):
+        good = [t for i, t, x, _, _ in rows if x == lang and i in ids]
+        models = {f: Brute([t for t in good if fold[t] != f]) for f in range(Q.FOLDS)}
+        each = [math.exp(-models[fold[t]].log(t) / sum(len(_utf16(c)) for c in t)) for t in good]
+        assert all(r["threshold"] == pytest.approx(max(each), rel=1e-9) for r in out if r["lang"] == lang)
+
+
 def test_tables_without_rows_or_labels(spark, documents, corpus):
     rows, labels = corpus
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
