@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm.shared import column
+from storefront.llm.shared import column, written
 
 DICTIONARY_MAGIC = 0x184D2A5D  # skippable frame that holds an archive's dictionary
 EMPTY_FRAME = "\x50\x2a\x4d\x18\x00\x00\x00\x00"  # skippable frame of no bytes
@@ -93,6 +93,15 @@ def _coder(words: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(words, dict_type=kind)
 
 
+def with_firsts(rows: DataFrame, least_revisit: int) -> DataFrame:
+    """``rows`` (_id, payload, digest, ...) with ``_first``, the smallest id of
+    a payload that several rows share."""
+    firsts = (rows.filter(F.octet_length("payload") >= least_revisit).groupBy("digest")
+              .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
+    # Written first: a join that shuffles both sides itself can be split where one payload has most rows.
+    return rows.join(written(firsts.select("digest", "_first"), "first-copies"), "digest", "left")
+
+
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html",
                    least_revisit: int = 100, dictionary_bytes: int = 32_768, train_bytes: int = 2_000_000,
                    level: int = 3) -> None:
@@ -102,10 +111,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     records; its size and that bound affect compression only."""
     rows = pages.select(column(pages, page_id).cast("string").alias("page"), column(pages, page_id).alias("_id"),
                         column(pages, url).alias("url"), F.coalesce(column(pages, payload), F.lit("")).alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    firsts = (rows.filter(F.octet_length("payload") >= least_revisit).groupBy("digest")
-              .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
-    joined = rows.join(firsts, "digest", "left")
+    joined = with_firsts(rows.withColumn("digest", F.sha2("payload", 256)), least_revisit)
     other = F.col("_id").isNull() | (F.col("_id") > F.col("_first"))
     records = joined.select("page", "url", "payload", "digest",
                             F.when(F.col("_first").isNotNull() & other, F.col("_first").cast("string")).alias("first"))
@@ -136,8 +142,8 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     def batch_of(values: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], ["frame"])
 
-    written = records.mapInArrow(frames, "frame binary")
-    written.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
+    made = records.mapInArrow(frames, "frame binary")
+    made.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
 
 
 def records_in(archive: bytes) -> Iterator[bytes]:

@@ -46,6 +46,20 @@ def test_whole_table_and_dictionary_frames(spark, small_dir, tmp_path):
     assert payloads - {None} == {(h or "").encode() for _, _, h in rows}
 
 
+def test_join_with_first_copies_can_be_split(spark):
+    """AQE splits a skewed join only if both its sides are a sort above a shuffle."""
+    rows = spark.createDataFrame([(i, "x" * 200, "d") for i in range(9)], "_id long, payload string, digest string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = warc.with_firsts(rows, 100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Aggregate" not in plan
+        assert {r["_first"] for r in joined.collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert round_trip(spark, df, f"file://{tmp_path}/w") == []
