@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront.llm import decontaminate, line_dedup, mixing, quality_lm, simhash
-from storefront.llm.shared import written
+from storefront.llm.shared import column, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that 10 or more documents share go; n_chars follows the text."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    out = line_dedup.dedup_lines(docs, min_docs=10, keep=others).withColumnRenamed("kept_text", "text")
-    out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    carried = docs.select("doc_id", "text", F.struct(*[column(docs, c) for c in others]).alias("row"))  # names may clash
+    out = line_dedup.dedup_lines(carried, min_docs=10, keep=("row",))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"),
+            "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    return out.select(*[made.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

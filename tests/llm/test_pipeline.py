@@ -92,6 +92,24 @@ def test_repeated_rows_and_null_ids(spark, small_dir, documents):
         [(1, rows[0][1]), (None, rows[0][1]), (None, "six"), (3, None)], key=repr)
 
 
+def test_an_id_that_stands_for_two_groups(spark, small_dir, documents):
+    a, b = "one two three four five", "red orange yellow green blue indigo violet"
+    assert (simhash.fingerprint(a, 3) ^ simhash.fingerprint(b, 3)).bit_count() > 3
+    out = corpus_pipeline.near_duplicates(spark, documents([(1, a), (1, b), (2, a), (3, b), (1, a)]), small_dir)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, a), (1, b)]
+
+
+def test_line_dedup_with_columns_of_its_own_names(spark, small_dir, documents):
+    rows = [(i, f"shared\nown {i}") for i in range(12)]
+    df = documents(rows)
+    for c in ("n_lines", "n_dropped", "kept_text", "row", "a.b"):
+        df = df.withColumn(c, F.concat(F.lit(c), "doc_id"))
+    out = corpus_pipeline.lines(spark, df, small_dir)
+    assert out.columns == df.columns
+    assert sorted(tuple(r) for r in out.collect()) == sorted(
+        (i, f"own {i}", "en", "s", len(f"own {i}"), f"n_lines{i}", f"n_dropped{i}", f"kept_text{i}", f"row{i}", f"a.b{i}") for i in range(12))
+
+
 def test_registered(spark, small_dir):
     import __spark_entry__ as entry
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
