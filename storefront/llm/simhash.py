@@ -138,7 +138,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     max_bits: int = 3) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits),
     ``component_id``, the smallest id reachable over links of at most
-    ``max_bits`` differing bits, and ``text_key``, a hash of the text."""
+    ``max_bits`` differing bits, ``text_key``, a hash of the text, and
+    ``root``, which tells groups apart that share a ``component_id``."""
     fps = written(fingerprints(docs, text, doc_id, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
     pairs = written(links(written(distinct.select("fp"), "distinct-fingerprints"), max_bits), "links")
@@ -146,19 +147,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left") \
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id")
+    named = rooted.select("fp", "root").join(lows, "root").select("fp", "root", "component_id")
     return fps.join(named, "fp").select(F.col("doc_id").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0")
-                                        .alias("fingerprint"), "component_id", "text_key")
+                                        .alias("fingerprint"), "component_id", "text_key", "root")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay if one document of each group does: the
-    one with the smallest id (of rows with that id, one with the smallest
-    text hash). Rows without an id cannot stand for a group or be told from
+    one with the smallest id (of the group's rows with that id, one with the
+    smallest text hash; an id may stand for several groups). Rows without an id cannot stand for a group or be told from
     each other, and stay."""
     groups = near_duplicates(docs, text, doc_id, **options).withColumnRenamed(doc_id, "_id")
-    stays = groups.filter(F.col("_id") == F.col("component_id")).groupBy("_id").agg(F.min("text_key").alias("_key"))
+    stays = groups.filter(F.col("_id") == F.col("component_id")).groupBy("root", "_id").agg(F.min("text_key").alias("_key"))
     rows = docs.select(F.struct(*[column(docs, c) for c in docs.columns]).alias("row"), column(docs, doc_id).alias("_id"),
                        F.xxhash64(column(docs, text)).alias("_key"))
-    named = rows.join(stays, ["_id", "_key"], "left_semi").dropDuplicates(["_id"])
+    named = rows.join(stays, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
     return named.select("row.*").unionByName(rows.filter(F.col("_id").isNull()).select("row.*"))
