@@ -12,7 +12,8 @@ the candidates are verified by the exact share of the item's shingles
 is taken on its hash alone.
 
 The items travel to the tasks in parts of a bounded size (``part_chars``);
-a larger benchmark takes one pass over the documents for each part.
+a larger benchmark takes one pass over the documents for each part, and the
+leaks of a pass are written, by a key of the text, before the next begins.
 
 Defined results: words are runs of letters, digits and underscores,
 lower-cased; items with fewer words than a shingle, empty or null, match
@@ -24,14 +25,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from storefront.llm.shared import column
+from storefront.llm.shared import column, text_key, written
 
 _WORDS = re.compile(r"\w+")
 
@@ -54,13 +57,15 @@ def signature(item: set[str], share: float) -> list[int]:
     return sorted(xxhash.xxh64_intdigest(s) for s in item)[:needed]
 
 
-def _parts(items: DataFrame, part_chars: int) -> Iterator[list[tuple]]:
-    """The items in parts of about ``part_chars`` characters, one at a time."""
+def _count(items: DataFrame, part_chars: int) -> int:
+    """How many parts of about ``part_chars`` characters the items make."""
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = -(-chars // part_chars) or 1
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        yield [(r["item_id"], r["text"]) for r in own.collect()]
+    return -(-chars // part_chars) or 1
+
+
+def _part(items: DataFrame, part: int, parts: int) -> list[tuple]:
+    own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+    return [(r["item_id"], r["text"]) for r in own.collect()]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -72,9 +77,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     items = benchmark.select(column(benchmark, item_id).alias("item_id"), column(benchmark, item_text).alias("text"))
     leak = StructType([StructField("item_id", items.schema[0].dataType), StructField("shared", LongType()),
                        StructField("size", LongType()), StructField("containment", DoubleType())])
-    out = docs.select(F.struct(*[column(docs, c) for c in docs.columns]).alias("row"),
-                      column(docs, text).alias("text"), F.array().cast(ArrayType(leak)).alias("leaks"))
-    schema = out.schema
+    leaks_type = StructField("leaks", ArrayType(leak))
+    rows = docs.select(F.struct(*[column(docs, c) for c in docs.columns]).alias("row"), column(docs, text).alias("text"))
 
     def search(sets: list[tuple], index: dict[int, list[int]], doc: str | None) -> list[dict]:
         found = shingles(doc, shingle)
@@ -90,7 +94,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                 leaks.append({"item_id": item, "shared": shared, "size": len(own), "containment": shared / len(own)})
         return leaks
 
-    def judge(part) -> callable:
+    def judge(part, through: list[str]) -> callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [(item, own) for item, t in part.value if (own := set(shingles(t, shingle)))]
             index: dict[int, list[int]] = {}
@@ -98,16 +102,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                 for h in signature(own, share):
                     index.setdefault(h, []).append(n)
             for batch in batches:
-                leaks = [before.as_py() + search(sets, index, doc.as_py())
-                         for doc, before in zip(batch.column("text"), batch.column("leaks"), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("text"), pa.array(leaks, batch.schema.field("leaks").type)],
-                    ["row", "text", "leaks"])
+                leaks = [search(sets, index, doc.as_py()) for doc in batch.column("text")]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in through], pa.array(leaks, to_arrow_type(leaks_type.dataType))],
+                                                 [*through, "leaks"])
         return run
 
-    for part in _parts(items, part_chars):
-        out = out.mapInArrow(judge(docs.sparkSession.sparkContext.broadcast(part)), schema)
-    return out.select("row", "leaks")
+    def passed(df: DataFrame, part, through: list[str]) -> DataFrame:
+        return df.mapInArrow(judge(part, through), StructType([*[df.schema[c] for c in through], leaks_type]))
+
+    parts = _count(items, part_chars)
+    if parts == 1:
+        return passed(rows, docs.sparkSession.sparkContext.broadcast(_part(items, 0, 1)), ["row"])
+    # Each pass is written before the next, so that no other part's items are held beside its own.
+    keyed, found = rows.select("*", *text_key(F.col("text"))), []
+    for part in range(parts):
+        own = docs.sparkSession.sparkContext.broadcast(_part(items, part, parts))
+        hits = passed(keyed.select("text", "_k1", "_k2"), own, ["_k1", "_k2"]).filter(F.size("leaks") > 0)
+        found.append(written(hits, "leaks").withColumn("part", F.lit(part)))
+        own.unpersist()
+    once = reduce(DataFrame.unionByName, found).groupBy("_k1", "_k2", "part").agg(F.first("leaks").alias("leaks"))
+    per = once.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct("part", "leaks"))).alias("s"))
+    per = written(per.select("_k1", "_k2", F.flatten("s.leaks").alias("leaks")), "text-leaks")
+    return keyed.join(per, ["_k1", "_k2"], "left").select("row", F.coalesce("leaks", F.array().cast(leaks_type.dataType)).alias("leaks"))
 
 
 def leaks_of(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

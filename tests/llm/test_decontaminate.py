@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from storefront.llm.decontaminate import leaks_of, without_leaks
+from storefront.llm.decontaminate import find_leaks, leaks_of, without_leaks
 
 
 def grams(text, n=5):
@@ -52,3 +52,13 @@ def test_rows_without_leaks_are_kept_whole(spark, documents):
     assert without_leaks(df, bench.limit(0)).count() == 3
     assert without_leaks(df.limit(0), bench).columns == df.columns
     assert found(documents([(1, "one two three four five six seven")] * 2), bench.union(bench)) == [(1, 1, 3, 3)] * 4
+
+
+def test_one_part_of_the_items_is_held_at_a_time(spark, documents):
+    text = "one two three four five six seven eight nine"
+    bench = spark.createDataFrame([(i, f"{text} {i}") for i in range(8)], "item_id long, text string")
+    docs = documents([(1, f"{text} 3"), (1, f"{text} 3"), (2, ""), (3, None)])
+    out = find_leaks(docs, bench, shingle=5, share=0.8, part_chars=100)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    got = sorted(((r["row"]["doc_id"], sorted(x["item_id"] for x in r["leaks"])) for r in out.collect()))
+    assert got == [(1, list(range(8)))] * 2 + [(2, []), (3, [])]
