@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import decontaminate, line_dedup, mixing, quality_lm, simhash, substring_dedup, topk, toxicity, url_filter, warc
+from storefront.llm import (decontaminate, line_dedup, mixing, prefix_trie, quality_lm, simhash, substring_dedup, topk, toxicity,
+                            url_filter, warc)
 from storefront.llm.shared import new_path
 
 
@@ -89,6 +89,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
+    import corpus_pipeline  # here: without it the operators' own queries still work
     return corpus_pipeline.run(spark, sf_dir)
 
 
@@ -98,6 +99,12 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with their block's heads."""
+    out = prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), block=20, heads=4)
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_lm": op2_quality_lm,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash_groups": op10_simhash_groups,
     "pipeline": pipeline,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LINES = """
@@ -215,4 +223,33 @@ WITH words AS (
         FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)""",
+    "op13_prefix_trie": r"""
+WITH own AS (
+        SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS t
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    hashed AS (
+        SELECT c, t, xor(list_reduce(list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT),
+                                     lambda crc, byte: list_reduce(range(8), lambda x, bit: CASE WHEN x % 2 = 1
+                                         THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, byte)), 4294967295::BIGINT),
+                         4294967295) % 4 AS h
+        FROM own),
+    rebuilt AS (
+        SELECT a.c, list_concat(coalesce(b.t[1:a.h], []), a.t[a.h + 1:]) AS t
+        FROM hashed a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+    places AS (
+        SELECT c, d, md5(t[1:d]::VARCHAR) AS node, CASE WHEN d > 0 THEN md5(t[1:d - 1]::VARCHAR) END AS above, d = len(t) AS last,
+               CASE WHEN d > 0 THEN len(regexp_extract_all(t[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+        FROM rebuilt, LATERAL (SELECT unnest(range(len(t) + 1)) AS d)),
+    nodes AS (
+        SELECT node, d, any_value(above) AS above, min(c) AS c, count(*) AS n, (count(*) - 1) * any_value(words) AS saved,
+               sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends
+        FROM places GROUP BY node, d),
+    kids AS (SELECT above, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+    tree AS (SELECT nodes.*, coalesce(kids.n, 0) AS children FROM nodes LEFT JOIN kids ON nodes.node = kids.above AND nodes.d = kids.d),
+    below AS (
+        SELECT p.node, p.d, sum((t.children = 0)::INT) AS leaves, sum(t.saved) AS saved
+        FROM tree t JOIN places p ON p.c = t.c AND p.d <= t.d GROUP BY p.node, p.d)
+SELECT t.c AS conv_id, t.d::BIGINT AS depth, up.c AS parent_conv_id, t.n AS n_convs, t.children AS n_children,
+       b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, t.ends AS ends_sha256
+FROM tree t JOIN below b ON t.node = b.node AND t.d = b.d LEFT JOIN tree up ON t.above = up.node AND t.d = up.d + 1""",
 }
