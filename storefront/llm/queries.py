@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import (decontaminate, line_dedup, mixing, prefix_trie, quality_lm, simhash, substring_dedup, topk, toxicity,
-                            url_filter, warc)
+from storefront.llm import (decontaminate, line_dedup, mixing, prefix_trie, quality_lm, simhash, substring_dedup, tokenizer_alignment, topk,
+                            toxicity, url_filter, warc)
 from storefront.llm.shared import new_path
 
 
@@ -99,6 +99,12 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str, folder: str = "/opt/tokenizers") -> DataFrame:
+    """A byte-level BPE and a BPE of pieces aligned over all documents."""
+    out = tokenizer_alignment.align(_table(spark, sf_dir, "documents"), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, rebuilt with their block's heads."""
     out = prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), block=20, heads=4)
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash_groups": op10_simhash_groups,
     "pipeline": pipeline,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
