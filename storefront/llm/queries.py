@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.llm import (decontaminate, line_dedup, mixing, prefix_trie, quality_lm, simhash, substring_dedup, tokenizer_alignment, topk,
-                            toxicity, url_filter, warc)
+from storefront.llm import (decontaminate, html_extraction, line_dedup, mixing, prefix_trie, quality_lm, simhash, substring_dedup,
+                            tokenizer_alignment, topk, toxicity, url_filter, warc)
 from storefront.llm.shared import new_path
 
 
@@ -105,6 +105,12 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str, folder: str = "/o
     return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by a recurrent block labeller."""
+    out = html_extraction.main_text(_table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    return out.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, rebuilt with their block's heads."""
     out = prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), block=20, heads=4)
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_groups": op10_simhash_groups,
     "pipeline": pipeline,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_html_extraction": op12_html_extraction,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
