@@ -45,7 +45,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     key = text_key(F.col("_id"), F.col("_text"))
     hashed = written(rows.select(*key, _hashes(F.col("_text")).alias("hs")), "line-hashes")
 
-    per_doc = hashed.select(F.explode(F.array_distinct("hs")).alias("h")).filter("h IS NOT NULL")
+    # Each hash of a document once: sorted, then compared with its neighbour (array_distinct compares structs pair by pair).
+    in_order = hashed.select(F.sort_array("hs").alias("hs"))
+    fresh = F.filter("hs", lambda h, i: h.isNotNull() & ~h.eqNullSafe(F.get("hs", i - 1)))
+    per_doc = in_order.select(F.explode(fresh).alias("h"))
     frequent = per_doc.groupBy("h.a", "h.b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
     # Written first: a join that shuffles both sides itself can be split where one line has most rows.
     frequent = written(frequent.select("a", "b"), "frequent-lines")
@@ -55,11 +58,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     drops = (lines.join(frequent, ["a", "b"], "left_semi").groupBy("_k1", "_k2")
              .agg(F.collect_set("pos").alias("_drop")))
 
-    split = F.split("_text", "\n", -1)
-    out = rows.select("*", *key).join(drops, ["_k1", "_k2"], "left")
+    out = rows.select("*", *key).join(drops, ["_k1", "_k2"], "left").withColumn("_lines", F.split("_text", "\n", -1))
+    # Positions that stay (hashed set difference, in order), then their lines: work grows with lines plus drops.
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
     kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(
-        F.array_join(F.filter(split, lambda line, i: ~F.array_contains(F.col("_drop"), i)), "\n"))
+        F.array_join(F.transform(stay, lambda i: F.col("_lines")[i]), "\n"))
     return out.select(F.col("_id").alias(doc_id), *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
-                      F.size(split).cast("long").alias("n_lines"),
+                      F.size("_lines").cast("long").alias("n_lines"),
                       F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
                       kept.alias("kept_text"))

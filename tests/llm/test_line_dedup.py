@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -45,3 +46,14 @@ def test_empty_table_and_clashing_columns(spark, documents):
     df = documents([(1, "a\nb"), (2, "a")]).withColumn("h", F.lit(1)).withColumn("_k1", F.lit(2)).withColumn("a.b", F.lit(3))
     out = dedup_lines(df, min_docs=2, keep=("h", "_k1", "a.b"))
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 2, 3, 2, 1, "b"), (2, 1, 2, 3, 1, 1, "")]
+
+
+def test_very_long_documents(spark):
+    """Twelve documents of 200,000 shared lines and one of their own."""
+    ids = spark.range(12, numPartitions=4)
+    lines = F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda i: F.concat(F.lit("line "), i.cast("string")))
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat_ws("\n", F.array_join(lines, "\n"), F.concat(F.lit("own "), F.col("id").cast("string"))).alias("text"))
+    began = time.monotonic()
+    found = dedup_lines(docs, min_docs=10).collect()
+    assert sorted(tuple(r) for r in found) == [(i, 200_001, 200_000, f"own {i}") for i in range(12)]
+    assert time.monotonic() - began < 90
