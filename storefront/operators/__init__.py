@@ -1,9 +1,10 @@
 """Reusable DataFrame operators the analyses are built from."""
 
 from storefront.operators.aggregates import share_pct, success_rate, tiered_value, totals_by  # noqa: F401
+from storefront.operators.asof import as_of, carry_forward  # noqa: F401
 from storefront.operators.exclusion import exclude_keys, missing_in_range, missing_in_range_by  # noqa: F401
 from storefront.operators.lists import compose_list, explode_ids, substrings  # noqa: F401
-from storefront.operators.membership import with_membership  # noqa: F401
+from storefront.operators.membership import with_membership, with_periods  # noqa: F401
 from storefront.operators.periods import before_after, period_sums  # noqa: F401
 from storefront.operators.quality import append_rows, insert_values, validate_rows  # noqa: F401
 from storefront.operators.ranking import rows_at_extreme, top_by_count, top_overall  # noqa: F401

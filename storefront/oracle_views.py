@@ -20,6 +20,11 @@ VIEWS: dict[str, str] = {
     "members": """
         SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS join_date
         FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey""",
+    "membership_periods": """
+        SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
+               CASE WHEN o_orderkey % 40 <> 0
+                    THEN CAST(o_orderdate AS DATE) + CAST(30 * (1 + o_orderkey % 6) AS INTEGER) END AS end_date
+        FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "customer_orders": """
         SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, l.l_partkey AS pizza_id,
                CASE WHEN l.l_returnflag = 'A' AND l.l_linestatus = 'F' THEN ''

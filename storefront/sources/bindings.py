@@ -42,7 +42,7 @@ class Domain:
         self.baseline = baseline
 
     # The domain tables, as the analyses read them.
-    DOMAIN_TABLES = ("sales", "menu", "members", "customer_orders", "pizza_names", "pizza_recipes",
+    DOMAIN_TABLES = ("sales", "menu", "members", "membership_periods", "customer_orders", "pizza_names", "pizza_recipes",
                      "pizza_toppings", "runner_orders", "runners", "raw_ratings", "weekly_sales")
 
     @classmethod
@@ -116,6 +116,16 @@ class Domain:
             .agg(F.min(F.to_date("o_orderdate")).alias("join_date"))
         )
 
+    @cached_property
+    def membership_periods(self) -> DataFrame:
+        """membership_periods(customer_id, start_date, end_date): every
+        top-priority order buys one to six times 30 days (some never end);
+        periods of a customer may overlap."""
+        start, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+        end = F.when(k % 40 != 0, F.date_add(start, (30 * (1 + k % 6)).cast("int")))
+        return self.table("orders").filter(F.col("o_orderpriority") == MEMBER_PRIORITY).select(
+            F.col("o_custkey").alias("customer_id"), start.alias("start_date"), end.alias("end_date"))
+
     # ---- fulfilment ----------------------------------------------------
     @cached_property
     def customer_orders(self) -> DataFrame:
