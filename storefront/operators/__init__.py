@@ -5,6 +5,7 @@ from storefront.operators.asof import as_of, carry_forward  # noqa: F401
 from storefront.operators.exclusion import exclude_keys, missing_in_range, missing_in_range_by  # noqa: F401
 from storefront.operators.lists import compose_list, explode_ids, substrings  # noqa: F401
 from storefront.operators.membership import with_membership, with_periods  # noqa: F401
+from storefront.operators.numbering import append_numbered, compose_pieces, number_rows  # noqa: F401
 from storefront.operators.patterns import like_join  # noqa: F401
 from storefront.operators.periods import before_after, period_sums  # noqa: F401
 from storefront.operators.quality import append_rows, insert_values, validate_rows  # noqa: F401

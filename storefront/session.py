@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans are tuned for. AQE re-plans joins from
@@ -56,12 +58,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    There is no fallback: a folder of one machine would lose the rows that
-    the other machines wrote.
+    Where it is unset there is a fallback for sessions in one process
+    (``local[...]``, as in tests) alone: on a cluster, a folder of one machine would
+    lose the rows that the other machines wrote.
     """
     configured = (spark.conf.get("spark.checkpoint.dir", None)
                   or spark.sparkContext.getConf().get("spark.checkpoint.dir")
                   or spark.sparkContext.getCheckpointDir())
     if not configured:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder, or name a location")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder, or name a location")
+        configured = tempfile.mkdtemp(prefix="storefront-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
