@@ -33,6 +33,7 @@ LIST_SEPARATOR_PATTERN = r",\s*"  # separator as written in the data
 MISSING_TOKENS = ("", "null")   # text tokens that mean 'no value'
 CANCELLED_TEXT = "Restaurant Cancellation"
 SIGNUP_ANCHOR = date(1995, 1, 1)  # stand-in for the 2021-01-01 week anchor
+BULK_QUANTITY = 50              # items of one product that make a purchase a bulk purchase
 RATING_MIN = 1
 RATING_MAX = 5
 RATINGS_LOADED_AT = "2002-01-01 00:00:00"  # DEFAULT value of rating_time for this load
