@@ -101,6 +101,11 @@ def test_period_queries_push_their_dates_down(spark, small_dir):
         assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", plan), key
 
 
+def test_week_ranges_of_every_year_reach_the_scan(big_plans):
+    for key in ("before_after_by_year", "before_after_12w_by_year_asked"):
+        assert re.search(r"PushedFilters: \[[^\n]*Or\([^\n]*GreaterThanOrEqual\(o_orderdate", big_plans[key]), key
+
+
 def test_written_mart_is_pruned_by_year(spark, small_dir, tmp_path):
     d = Domain(spark, small_dir)
     table = mart.materialise_mart(d, location=f"file://{tmp_path}/mart")
