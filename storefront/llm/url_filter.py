@@ -2,20 +2,23 @@
 
 Dated list entries (a rule is added to or removed from a list) become
 validity intervals, and every capture is judged by the rules that were active
-when it was fetched: an as-of join of the capture's keys (host, the domains
-above it, its URL, the folders of its path) with the intervals on equal keys
-and ``valid_from <= fetched < valid_to``.
+when it was fetched. A capture's keys (host, the domains above it, its URL, the
+folders of its path) are joined with the names of the rules; each pair then
+gets the rule's last interval begun by the fetch time from an as-of join, which
+merges captures and intervals by time within a rule and day and carries on
+what the day opens with. So the work grows with captures plus changes: no
+capture meets the other intervals of its rule, and a rule that a third of the
+captures match is spread over its days.
 
 Distinct (URL, time) pairs are judged once and joined back to the captures.
-Keys are dealt with a salt and the intervals are copied to each salt, so a
-host that a third of the captures share is spread over tasks. Only as many
-domain and folder levels are made as the lists have, which loses nothing and
-bounds the keys of very long URLs.
+Only as many domain and folder levels are made as the lists have, which loses
+nothing and bounds the keys of very long URLs.
 
 Defined results: of changes to a rule at the same moment an addition wins; a
 rule that is added again while active stays active; a null or malformed URL,
 or a null fetch time, matches no rule; entries with null fields are ignored;
-repeated captures are each judged; without entries nothing is blocked.
+repeated captures are each judged; without entries nothing is blocked; a
+capture's other columns travel as one struct, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront.llm.shared import column, written
+from storefront.llm.shared import column, text_key, written
+from storefront.operators.asof import as_of
 
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?"
 KINDS = ("host", "domain", "folder", "url")
-SALTS = 16
 
 
 def url_host(url: Column) -> Column:
@@ -85,14 +88,19 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: st
         F.max(F.when(F.col("key").startswith("folder:"), F.size(F.split(body, "/", -1)) - 1))).first()
     rows = captures.select(F.struct(*[column(captures, c) for c in captures.columns]).alias("row"),
                            column(captures, url).alias("u"), column(captures, fetched).alias("t"))
-    asked = rows.filter(F.col("u").isNotNull() & F.col("t").isNotNull()).select("u", "t").distinct()
-    keys = asked.select("u", "t", F.explode(F.array_distinct(url_keys(F.col("u"), labels or 0, folders or 0))).alias("key"),
-                        F.pmod(F.xxhash64("u", "t"), F.lit(SALTS)).cast("int").alias("salt"))
-    spread = active.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    in_time = (F.col("t") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to")))
-    hits = keys.join(spread, ["key", "salt"]).filter(in_time)
-    verdicts = hits.groupBy("u", "t").agg(F.count(F.lit(1)).alias("n_rules"),
-                                          F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"))
-    return rows.join(verdicts, ["u", "t"], "left").select(
+    known = F.col("u").isNotNull() & F.col("t").isNotNull()
+    asked = rows.filter(known).select("u", "t").distinct()
+    keys = asked.select(*text_key(F.col("u"), F.col("t")), "t",
+                        F.explode(F.array_distinct(url_keys(F.col("u"), labels or 0, folders or 0))).alias("key"))
+    rule = F.struct(*text_key(F.col("list"), F.col("key"))).alias("rule")  # names stay behind: rules move as 16 bytes
+    named = keys.join(written(active.select("list", "key").distinct(), "url-rule-names"), "key").select("_k1", "_k2", "t", "list", rule)
+    begun = as_of(named, active.select(rule, "valid_from", "valid_to"), "rule", "t", "valid_from", ["valid_from", "valid_to"], days=1)
+    hits = begun.filter(F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to"))))
+    verdicts = hits.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n_rules"),
+                                              F.array_join(F.array_sort(F.collect_set("list")), ",").alias("lists"))
+    # Written first: the join can then be split where one (URL, time) has most captures; captures without either go past it.
+    found = rows.filter(known).select("row", *text_key(F.col("u"), F.col("t"))).join(written(verdicts, "url-verdicts"), ["_k1", "_k2"], "left")
+    unknown = rows.filter(~known).select("row", F.lit(None).cast("long").alias("n_rules"), F.lit(None).cast("string").alias("lists"))
+    return found.select("row", "n_rules", "lists").unionByName(unknown).select(
         "row", F.col("n_rules").isNotNull().alias("blocked"), F.coalesce("n_rules", F.lit(0)).alias("n_rules"),
         F.coalesce("lists", F.lit("")).alias("lists"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from urllib.parse import urlsplit
 
 from pyspark.sql import functions as F
@@ -71,3 +72,30 @@ def test_intervals(spark):
 def test_very_long_urls(spark):
     url = "http://" + "a." * 3000 + "com/" + "b/" * 20_000
     assert run(spark, [(1, url, T(1))], [("p", "domain:com", True, T(0)), ("p", "folder:x.y/z/", True, T(0))]) == [(1, True, 1, "p")]
+
+
+def test_work_grows_with_captures_plus_changes(spark):
+    """One hot domain: rows made by joins grow with captures and changes, not with their product."""
+    def joined(n):
+        captures = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.com/"), F.col("id").cast("string")).alias("url"),
+                                         F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 7919 % 2592000)").alias("fetched"))
+        entries = spark.range(n).select(F.lit("p").alias("list"), F.lit("domain:a.com").alias("key"), (F.col("id") % 3 != 0).alias("added"),
+                                        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 6007 % 2592000)").alias("at"))
+        out = judge(captures, entries)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not any(("<" in j or ">" in j) for j in re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) [^\n]*", plan))
+        stack, most = [out._jdf.queryExecution().executedPlan()], 0
+        while stack:
+            node = stack.pop()
+            if node.metrics().contains("numOutputRows"):
+                most = max(most, node.metrics().apply("numOutputRows").value())
+            kids = node.children()
+            stack += [kids.apply(i) for i in range(kids.size())]
+            if node.nodeName() == "AdaptiveSparkPlan":
+                stack.append(node.executedPlan())
+            elif "QueryStage" in node.nodeName():
+                stack.append(node.plan())
+        return most
+    small, large = joined(300), joined(3000)
+    assert 300 <= small and large <= 12 * small
