@@ -156,16 +156,19 @@ def _shard(model: DataFrame, shard: int, shards: int) -> dict:
     unit = F.when(F.col("kind") == "gram", F.shiftrightunsigned("code", BITS)).otherwise(F.col("code")).bitwiseAND(F.lit(0xFFFF))
     everywhere = (F.col("n") == 0) | ((F.col("kind") == "gram") & (F.col("n") == 1))
     name = F.concat_ws("\x1f", "lang", "kind", F.col("n").cast("string"))
-    rows = model.filter(everywhere | (unit % shards == shard)).select(name.alias("name"), "code", "value").toArrow()
-    code, value = rows.column("code").to_numpy().view(np.uint64), rows.column("value").to_numpy()
-    names = pa.concat_arrays(rows.column("name").chunks).dictionary_encode()  # few names: held once each
-    which = names.indices.to_numpy()
+    wanted = model.filter(everywhere | (unit % shards == shard)).select(name.alias("name"), "code", "value")
+    # Names come once, rows as three numbers: the driver holds no more than the tables themselves.
+    names = {r["h"]: r["name"] for r in wanted.select("name").distinct().select("name", F.xxhash64("name").alias("h")).collect()}
+    rows = wanted.select(F.xxhash64("name").alias("h"), "code", "value").toArrow()
+    which, code, value = (rows.column(c).to_numpy() for c in ("h", "code", "value"))
+    del rows
+    code = code.view(np.uint64)
     order = np.lexsort((code, which))
-    ends = np.cumsum(np.bincount(which, minlength=len(names.dictionary)))
+    which, code, value = which[order], code[order], value[order]
     tables = {}
-    for i, text in enumerate(names.dictionary.to_pylist()):
+    for h, text in names.items():
         lang, kind, n = text.rsplit("\x1f", 2)
-        own = order[(ends[i - 1] if i else 0):ends[i]]
+        own = slice(np.searchsorted(which, h), np.searchsorted(which, h, side="right"))
         tables[lang, kind, int(n)] = (code[own], value[own])
     return tables
 
@@ -271,7 +274,7 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
         tables = docs.sparkSession.sparkContext.broadcast(_shard(model, shard, shards))
         schema = T.StructType([*[df.schema[c] for c in through], *sums])
         out = written(df.mapInArrow(pass_shard(tables, shard, through), schema), name)
-        tables.unpersist()
+        tables.destroy()
         return out
 
     if shards == 1:
