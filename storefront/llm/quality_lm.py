@@ -124,8 +124,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     next lower order (order 0: the probability of an unseen unit)."""
     tables = {ORDER: written(counts, "ngram-counts")}
     for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct left neighbours
-        tables[n] = tables[n + 1].groupBy("lang", F.col("g").bitwiseAND(F.lit(MASK[n])).alias("g")).agg(
-            F.count(F.lit(1)).alias("c"))
+        tables[n] = written(tables[n + 1].groupBy("lang", F.col("g").bitwiseAND(F.lit(MASK[n])).alias("g")).agg(
+            F.count(F.lit(1)).alias("c")), f"continuations-{n}")  # read four times below
     out, lower = [], None
     for n in range(1, ORDER + 1):
         grams = _with_discounts(tables[n]).withColumn("h", F.shiftrightunsigned("g", BITS) if n > 1 else F.lit(0).cast("long"))
