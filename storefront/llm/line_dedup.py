@@ -10,7 +10,9 @@ crosses the network once, for the join with its dropped positions.
 Defined results: a null or empty text is one empty line and is kept; blank
 lines (no code point left after stripping) always stay; each row is a
 document of its own, so repeated rows count once each; extra columns play no
-part.
+part, and those to keep may have any names; a very long text is split, hashed
+and joined again in work that grows with its lines. An empty table gives no
+rows.
 """
 
 from __future__ import annotations

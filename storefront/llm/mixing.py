@@ -11,7 +11,10 @@ second copy's threshold is under the first copy's as well.
 Defined results: null and empty texts have size 0 and take part with 0 words;
 the null source is a source of its own and comes last; rows equal in
 every column that is hashed (id, text, source) share one hash and are taken
-together; an empty table gives no rows; a source of size 0 has target 0.
+together; an empty table gives no rows; a source of size 0 has target 0; a
+very long text counts in whole; extra columns play no part, whatever their
+names. Targets are made from one row a source: sources are few (tens of
+thousands fit a task).
 """
 
 from __future__ import annotations

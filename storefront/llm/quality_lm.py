@@ -23,7 +23,10 @@ Defined results: null and empty texts have no perplexity and are kept, as are
 documents in a language without trusted text, or with trusted text in one fold
 only (no threshold); a null language is a language of its own; a document is
 trusted if it has labels and all are positive; a null id is never trusted;
-repeated rows are each judged; lone surrogates count as units.
+repeated rows are each judged; lone surrogates count as units; a very long
+text is read in pieces of CHUNK units, all of which count; the columns to
+carry travel as one struct, whatever their names. Thresholds are approximate
+quantiles (accuracy 10,000).
 """
 
 from __future__ import annotations

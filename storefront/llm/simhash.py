@@ -17,7 +17,9 @@ connected groups of all links and makes at most one link per emitted variant.
 
 Defined results: null and blank texts have fingerprint zero; texts shorter
 than a shingle are one shingle; repeated rows are linked like any equal
-texts; null ids keep their rows but never name a component that has another id.
+texts; a very long text is counted in blocks of shingles, all of them; other
+columns travel as one struct, whatever their names; an empty table has no groups;
+null ids keep their rows but never name a component that has another id.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ would be taken as equal only if every differing word collides.
 
 Defined results: null and blank texts have no words; texts of fewer words
 than a window lose nothing; repeated rows are each other's copies and lose
-every window; extra columns play no part.
+every window; extra columns play no part, whatever their names; a very long
+text is one row of work, in whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Defined results: vectors that are null, hold null or non-finite components or
 have no id take no part; rows with the same id are one vector (the smallest in
 array order); vectors are compared with those of their own length; ties go to
 the smaller id; a query with fewer candidates returns them all. Scores must
-fit a long; larger ones raise an error.
+fit a long; larger ones raise an error; extra columns play no part, whatever
+their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ Voters are mined from a bounded sample of labelled training rows: words and
 word beginnings whose presence nearly always means toxic (a confidence bound
 on their precision picks them), and fixed patterns. A generative label model,
 which sees the votes only, estimates how often each voter fires on toxic and
-on clean texts, and how voters depend on each other within a class;
+on clean texts, and how voters depend on each other within the toxic class;
 correlated voters share one say. Its posteriors are the labels of a
 logistic regression over words and word beginnings, which scores every
 document in one pass; the weights that travel are bounded by a parameter.
@@ -16,8 +16,10 @@ id are not features.
 Defined results: null and empty texts get the classifier's score of a text
 without features; repeated rows are each scored; a document with several
 labels is toxic if one says so; rows with null ids are scored, never learnt
-from, and not held out; without labelled rows of both classes every score is
-the share of toxic training rows (0 if there are none).
+from, and not held out; without labelled rows of both classes, or without a
+word that votes, every score is the share of toxic training rows (0 if there
+are none); a very long text is read in whole; extra columns play no part,
+whatever their names.
 """
 
 from __future__ import annotations

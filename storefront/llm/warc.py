@@ -17,7 +17,8 @@ Defined results: a null payload is empty; a null id is never the smallest
 (if no copy has an id, all are responses) and is written without the id's
 header; rows that share the smallest id are all responses; a null URL is left
 out; line breaks in URLs are percent-encoded; an empty table gives archives
-without records.
+without records; a very long payload is one record; extra columns play no
+part, whatever their names.
 """
 
 from __future__ import annotations
