@@ -1,5 +1,9 @@
 """Reusable DataFrame operators the analyses are built from."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from storefront.operators.aggregates import share_pct, success_rate, tiered_value, totals_by  # noqa: F401
 from storefront.operators.asof import as_of, carry_forward  # noqa: F401
 from storefront.operators.cumulative import period_totals, running_totals  # noqa: F401
@@ -14,3 +18,6 @@ from storefront.operators.periods import before_after, period_sums  # noqa: F401
 from storefront.operators.quality import append_rows, insert_values, validate_rows  # noqa: F401
 from storefront.operators.ranking import rows_at_extreme, top_by_count, top_overall  # noqa: F401
 from storefront.operators.rollup import count_sets, distinct_by_levels, distinct_sets, merge_sets  # noqa: F401
+
+# Helpers that run inside tasks travel with the job: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
