@@ -274,21 +274,23 @@ class Domain:
         day = F.col("o_orderdate")
         return self._weekly(orders.filter((day >= F.lit(first).cast(kind)) & (day < F.lit(last + timedelta(days=7)).cast(kind))))
 
-    def weekly_sales_in_weeks(self, years, low: int, high: int) -> DataFrame:
-        """The rows of ``weekly_sales`` of ISO weeks ``low``..``high`` of ``years``
+    def weekly_sales_in_weeks(self, low: int, high: int) -> DataFrame:
+        """The rows of ``weekly_sales`` of ISO weeks ``low``..``high`` of every year
         (others may be among them), as ranges of the order date that reach
-        the scan. Years that two digits cannot tell are kept whole, and so is
-        everything if the weeks touch the turn of a year."""
+        the scan. Everything is kept if the weeks touch the turn of a year, or
+        if two digits cannot tell the years. Reads the first and last date."""
         if "weekly_sales" in self.__dict__ or low < 2 or high > 51:
             return self.weekly_sales
         orders = self.table("orders")
         kind = orders.schema["o_orderdate"].dataType
         day = F.col("o_orderdate")
-        at = lambda d: F.lit(d).cast(kind)
-        wanted = (day < at(date(1970, 1, 1))) | (day >= at(date(2070, 1, 1)))
-        for y in sorted(years):
-            first, last = date.fromisocalendar(y, low, 1), date.fromisocalendar(y, high, 1) + timedelta(days=7)
-            wanted = wanted | ((day >= at(first)) & (day < at(last)))
+        first, last = orders.agg(F.min(F.year(day)), F.max(F.year(day))).first()
+        if first is None or first < 1970 or last > 2069:
+            return self.weekly_sales
+        wanted = F.lit(False)
+        for y in range(first, last + 1):
+            start, end = date.fromisocalendar(y, low, 1), date.fromisocalendar(y, high, 1) + timedelta(days=7)
+            wanted = wanted | ((day >= F.lit(start).cast(kind)) & (day < F.lit(end).cast(kind)))
         return self._weekly(orders.filter(wanted))
 
     def _weekly(self, orders: DataFrame) -> DataFrame:
