@@ -131,9 +131,26 @@ class Domain:
     def customer_orders(self) -> DataFrame:
         """customer_orders(order_id, customer_id, pizza_id, exclusions, extras,
         order_time) with three encodings of 'nothing': NULL, '' and 'null'."""
-        items = self.table("lineitem").select(
+        return self._customer_orders(self.table("lineitem"), self.table("orders"))
+
+    def dealt(self, df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+        """``df`` shuffled by ``keys`` into ``partitions`` (``spark.sql.shuffle.partitions``
+        if that is more), which AQE does not merge: for plans that hold the rows
+        of a task in memory several times."""
+        return df.repartition(max(partitions, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+    def customer_orders_in(self, partitions: int) -> DataFrame:
+        """The rows of ``customer_orders``, items and orders ``dealt`` by order.
+        A table the caller gave is returned as it is."""
+        if self._frames_only:
+            return self.customer_orders
+        return self._customer_orders(self.dealt(self.table("lineitem"), partitions, "l_orderkey"),
+                                     self.dealt(self.table("orders"), partitions, "o_orderkey"))
+
+    def _customer_orders(self, lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+        items = lineitem.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        orders = orders.select("o_orderkey", "o_custkey", "o_orderdate")
         flag, status = F.col("l_returnflag"), F.col("l_linestatus")
         part_mod = F.col("l_partkey") % 4
         supp_id = _text(F.col("l_suppkey") % 25)

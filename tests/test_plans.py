@@ -5,12 +5,14 @@ large cluster would get for big tables."""
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
 
-from storefront.plans import mart, registry
+from storefront.plans import fulfilment, mart, registry
 from storefront.sources.bindings import Domain
+from tests.conftest import rows
 
 NOT_SCALABLE = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas")
@@ -122,3 +124,29 @@ def test_no_lists_meet_in_one_task(spark, small_dir):
     from storefront.plans.fulfilment import _with_lists
     plan = _with_lists(Domain(spark, small_dir))._jdf.queryExecution().optimizedPlan().toString()
     assert "pmod(xxhash64(" in plan
+
+
+def test_items_and_texts_of_orders_are_not_merged_into_few_tasks(spark, tmp_path):
+    """AQE merged the join, the count of equal items and the texts to a task a core."""
+    def write(name, values, schema):
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    day = dt.datetime(2021, 1, 1)
+    write("lineitem", [(o, p, 3, n, flag, "F") for o in (1, 2, 3) for p, n, flag in ((1, 2, "R"), (1, 2, "R"), (2, 1, "N"))]
+          + [(None, 1, 3, 2, "R", "F"), (99, 1, 3, 2, "R", "F"), (1, None, 3, 2, "R", "F")],
+          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string")
+    write("orders", [(k, 7, day) for k in (1, 2, 3, 3, None)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    write("part", [(1, "A", 3), (2, "A", 4)], "p_partkey long, p_type string, p_size int")
+    write("nation", [(1, "Beef"), (2, "Corn"), (3, "Dill"), (4, "Eggs")], "n_nationkey int, n_name string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = fulfilment.ingredient_list(Domain(spark, str(tmp_path)))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = rows(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    once = "A: 2xBeef, 2xBeef, 2xCorn, Dill, Dill, 2xEggs"
+    twice = "A: " + ", ".join(["2xBeef"] * 4 + ["2xCorn"] * 2 + ["Dill"] * 4 + ["2xEggs"] * 2)
+    assert got == [(1, once), (2, once), (3, twice)]
+    for keys in (r"l_orderkey#\d+L", r"o_orderkey#\d+L", r"order_id#\d+L, pizza_name#\d+"):
+        assert re.search(rf"Exchange hashpartitioning\({keys}, {fulfilment.ORDER_PARTITIONS}\), REPARTITION_BY_NUM", plan), keys
